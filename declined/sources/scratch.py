@@ -1,0 +1,15 @@
+from __future__ import annotations
+
+from uuid import uuid4
+
+from pyspark.sql import SparkSession
+
+
+def scratch_path(spark: SparkSession, otherwise: str) -> str:
+    """A fresh path in the shared folder the session names in ``spark.checkpoint.dir``.
+
+    ``otherwise`` is used where the session names none; on a cluster it must lie on a
+    file system that all machines share.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared.rstrip('/')}/{uuid4().hex}" if shared else otherwise
