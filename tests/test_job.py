@@ -1,0 +1,186 @@
+import gzip
+import json
+import logging
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+
+from declined.plans import AuditOutcome, audit_report, job, run_audit
+from declined.plans.job import main
+from declined.sources import read_orders, read_payments
+
+HEADER = "id_pedido;produto;valor_unitario_pedido;quantidade_pedido;data_criacao_pedido;uf;id_cliente"
+
+
+@pytest.fixture
+def inputs(tmp_path):
+    """Writes gzip text and returns its globs; without arguments, 300 orders over five files."""
+
+    def payment(number, **changes):
+        return {
+            "id_pedido": f"p{number}",
+            "forma_pagamento": ("pix", "boleto", "cartao")[number % 3],
+            "valor_pagamento": 1.0,
+            "status": number % 4 == 0,
+            "data_processamento": "2025-01-01T00:00:00",
+            "avaliacao_fraude": {"fraude": number % 5 == 0, "score": 0.5},
+            **changes,
+        }
+
+    def write(orders=None, payments=None):
+        if orders is None:
+            orders = [
+                f"p{i};TV;{i}.5;{i % 3};202{4 + i % 2}-{1 + i % 12:02}-03T04:05:06;U{i % 7};{i}"
+                for i in range(300)
+            ]
+        if payments is None:
+            payments = [payment(i % 300) for i in range(300)]
+            payments += [payment(i, forma_pagamento="zz") for i in range(0, 300, 2)]
+        for folder in ("orders", "payments"):
+            (tmp_path / folder).mkdir()
+        for part in range(5):
+            with gzip.open(tmp_path / "orders" / f"{part}.csv.gz", "wt") as out:
+                out.writelines(line + "\n" for line in [HEADER, *orders[part::5]])
+            with gzip.open(tmp_path / "payments" / f"{part}.json.gz", "wt") as out:
+                out.writelines(json.dumps(p) + "\n" for p in payments[part::5])
+        return f"{tmp_path}/orders/*.csv.gz", f"{tmp_path}/payments/*.json.gz"
+
+    return write
+
+
+def visible_and_hidden(folder):
+    return sorted(entry.name for entry in folder.iterdir())
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_job_writes_the_report(spark, inputs, tmp_path, staged):
+    orders_path, payments_path = inputs()
+    staging = str(tmp_path / "staged") if staged else None
+    output = tmp_path / "out" / "report"
+    outcome = run_audit(spark, orders_path, payments_path, str(output), staging_path=staging)
+    expected = audit_report(
+        read_orders(spark, orders_path), read_payments(spark, payments_path)
+    ).collect()
+    written = spark.read.parquet(str(output))
+    assert outcome == AuditOutcome(len(expected)) and len(expected) > 50
+    assert sorted(written.collect()) == sorted(expected)
+    assert visible_and_hidden(output.parent) == ["report"]
+
+
+def test_part_files_follow_the_report_order(spark, setting, inputs, tmp_path):
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    output = tmp_path / "report"
+    run_audit(spark, *inputs(), str(output))
+    files = sorted(output.glob("part-*.parquet"))
+    assert len(files) > 3
+    rows = [row for file in files for row in spark.read.parquet(str(file)).collect()]
+    order = [(r.uf, r.forma_pagamento, r.data_criacao_pedido, r.id_pedido) for r in rows]
+    assert order == sorted(order)
+
+
+def test_scratch_is_removed(spark, inputs, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = visible_and_hidden(shared)
+    run_audit(spark, *inputs(), str(tmp_path / "report"))
+    assert visible_and_hidden(shared) == before
+
+
+def test_scratch_without_a_shared_folder_lies_next_to_the_report(
+    spark, inputs, tmp_path, monkeypatch
+):
+    used = []
+    monkeypatch.setattr(job, "scratch_path", lambda _, otherwise: used.append(otherwise) or otherwise)
+    run_audit(spark, *inputs(), str(tmp_path / "report"))
+    assert [Path(p.removeprefix("file:")).parent for p in used] == [tmp_path]
+    assert visible_and_hidden(tmp_path) == ["orders", "payments", "report"]
+
+
+def test_the_text_is_read_once(spark, inputs, tmp_path):
+    """Only two stages have the inputs' five files as tasks: one scan of each input."""
+    spark.sparkContext.setJobGroup("read once", "")
+    run_audit(spark, *inputs(), str(tmp_path / "report"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {
+        stage
+        for number in tracker.getJobIdsForGroup("read once")
+        for stage in tracker.getJobInfo(number).stageIds
+    }
+    infos = [info for info in map(tracker.getStageInfo, stages) if info]
+    ran = [info.numTasks for info in infos if info.numCompletedTasks]
+    assert ran.count(5) == 2
+
+
+def test_an_older_report_is_replaced(spark, inputs, tmp_path):
+    output = str(tmp_path / "report")
+    paths = inputs()
+    run_audit(spark, *paths, output, year=2024)
+    first = spark.read.parquet(output).collect()
+    run_audit(spark, *paths, output, year=2025)
+    second = spark.read.parquet(output).collect()
+    assert {r.data_criacao_pedido.year for r in first} == {2024}
+    assert {r.data_criacao_pedido.year for r in second} == {2025}
+
+
+@pytest.mark.parametrize("empty", ["orders", "payments"])
+def test_empty_input_warns_and_writes_an_empty_report(spark, inputs, tmp_path, caplog, empty):
+    output = str(tmp_path / "report")
+    with caplog.at_level(logging.WARNING, logger="declined"):
+        outcome = run_audit(spark, *inputs(**{empty: []}), output)
+    assert outcome == AuditOutcome(0, (empty,))
+    assert f"the {empty} input holds no records" in caplog.text
+    assert spark.read.parquet(output).columns == [
+        "id_pedido", "uf", "forma_pagamento", "valor_total_pedido", "data_criacao_pedido",
+    ]
+    assert spark.read.parquet(output).isEmpty()
+
+
+def test_nothing_in_scope_is_not_an_empty_input(spark, inputs, tmp_path):
+    assert run_audit(spark, *inputs(), str(tmp_path / "r"), year=1999) == AuditOutcome(0)
+
+
+def test_malformed_row_fails_the_job_and_spares_the_old_report(spark, inputs, tmp_path):
+    output = tmp_path / "report"
+    spark.range(3).write.parquet(str(output))
+    bad = ["p0;TV;1.5;1;2025-01-03T04:05:06;U1;1", "p1;TV;1.5;many;2025-01-03T04:05:06;U1;1"]
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
+        run_audit(spark, *inputs(orders=bad), str(output))
+    assert spark.read.parquet(str(output)).count() == 3
+    assert visible_and_hidden(tmp_path) == ["orders", "payments", "report"]
+
+
+def test_previews_are_printed_on_request(spark, inputs, tmp_path, capfd):
+    paths = inputs()
+    run_audit(spark, *paths, str(tmp_path / "quiet"))
+    assert "root" not in capfd.readouterr().out
+    run_audit(spark, *paths, str(tmp_path / "loud"), show_previews=True)
+    printed = capfd.readouterr().out
+    assert printed.count("root\n") == 4
+    assert printed.count("only showing top 5 rows") == 2
+    assert printed.count("only showing top 10 rows") == 2
+
+
+def test_command_line(spark, setting, inputs, tmp_path):
+    """Ten minutes into 2025 in UTC is still 2024 in Sao Paulo."""
+    setting("spark.sql.session.timeZone", "UTC")
+    orders = ["p1;TV;2.5;2;2025-01-01T00:10:00Z;SP;1", "p2;TV;2.5;2;2025-06-01T00:00:00Z;SP;1"]
+    payments = [
+        {"id_pedido": p, "forma_pagamento": "pix", "status": False, "avaliacao_fraude": {"fraude": False}}
+        for p in ("p1", "p2")
+    ]
+    orders_path, payments_path = inputs(orders, payments)
+    options = ["--orders", orders_path, "--payments", payments_path, "--output", str(tmp_path / "r")]
+    main([*options, "--time-zone", "America/Sao_Paulo"])
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "r")).collect()] == [
+        ("p2", "SP", "pix", 5.0, datetime(2025, 6, 1))
+    ]
+    main([*options, "--time-zone", "UTC"])
+    assert [r.id_pedido for r in spark.read.parquet(str(tmp_path / "r")).collect()] == ["p1", "p2"]
+
+
+def test_command_line_errors_propagate(spark, tmp_path):
+    missing = str(tmp_path / "none")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        main(["--orders", missing, "--payments", missing, "--output", str(tmp_path / "r")])

@@ -1,0 +1,202 @@
+"""The report plan: same rows as the plain composition, and the physical plan we want."""
+
+import random
+import re
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from declined.operators import (
+    match_payments,
+    one_per_key,
+    orders_of_year,
+    refused_payments,
+    report_columns,
+    with_order_total,
+)
+from declined.plans import audit_report, best_matches, report_of_matches
+from frames import DAY, executed_plan, final_plan, orders, payments, values
+
+
+def plain_report(order_rows, payment_rows, year=2025):
+    """The steps one after the other, with every pair of the join formed."""
+    in_scope = with_order_total(orders_of_year(order_rows, year))
+    return report_of_matches(match_payments(in_scope, refused_payments(payment_rows)))
+
+
+@pytest.fixture(scope="module")
+def messy(spark):
+    """Repeated orders, repeated payments, unknown values, and a key with a third of all rows."""
+    rng = random.Random(11)
+    key = lambda: "hot" if rng.random() < 1 / 3 else rng.choice([None, *map(str, range(60))])
+    order_rows = [
+        {
+            "id_pedido": key(),
+            "valor_unitario_pedido": rng.choice([None, 0.5, 1.5]),
+            "quantidade_pedido": rng.choice([None, 0, 3]),
+            "data_criacao_pedido": rng.choice([None, DAY, DAY - timedelta(days=1), datetime(2025, 7, 1)]),
+            "uf": rng.choice([None, "RJ", "SP"]),
+        }
+        for _ in range(200)
+    ]
+    payment_rows = [
+        {
+            "id_pedido": key(),
+            "forma_pagamento": rng.choice([None, "boleto", "cartao", "pix"]),
+            "status": rng.choice([False, False, True, None]),
+            "avaliacao_fraude": rng.choice([(False, 0.1), (False, 0.2), (True, 0.9), (None, 0.0), None]),
+        }
+        for _ in range(600)
+    ]
+    return orders(spark, *order_rows).cache(), payments(spark, *payment_rows).cache()
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"], ids=["broadcast", "sort-merge"])
+def test_dedup_below_the_join_equals_dedup_above_it(messy, setting, threshold):
+    setting("spark.sql.autoBroadcastJoinThreshold", threshold)
+    expected = plain_report(*messy).collect()
+    assert len(expected) > 30
+    assert audit_report(*messy).collect() == expected
+
+
+def test_report_does_not_depend_on_partitioning(messy):
+    order_rows, payment_rows = messy
+    expected = audit_report(*messy).collect()
+    for parts in (1, 5, 13):
+        shuffled = (df.repartition(parts, F.rand(parts)) for df in (order_rows, payment_rows))
+        assert audit_report(*shuffled).collect() == expected
+
+
+def test_another_year(messy):
+    assert audit_report(*messy, year=2024).collect() == plain_report(*messy, year=2024).collect()
+    assert audit_report(*messy, year=1999).isEmpty()
+
+
+def test_report_of_reduced_matches_is_the_report(messy):
+    order_rows, payment_rows = messy
+    reduced = best_matches(
+        with_order_total(orders_of_year(order_rows)), refused_payments(payment_rows)
+    )
+    assert report_of_matches(reduced).collect() == audit_report(*messy).collect()
+
+
+# --- physical plans
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("stored")
+    rows = spark.range(20_000)
+    instant = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 4000)
+    rows.select(
+        F.sha2(F.col("id").cast("string"), 256).alias("id_pedido"),
+        F.lit("TV").alias("produto"),
+        (F.col("id") % 100).cast("float").alias("valor_unitario_pedido"),
+        (F.col("id") % 5).alias("quantidade_pedido"),
+        instant.alias("data_criacao_pedido"),
+        F.concat(F.lit("U"), F.col("id") % 7).alias("uf"),
+        F.col("id").alias("id_cliente"),
+    ).repartition(4).write.parquet(f"{folder}/orders")
+    # A third of all payments belongs to one order.
+    owner = F.when(F.col("id") % 3 == 0, 7500).otherwise(F.col("id") % 20_000)
+    spark.range(60_000).select(
+        F.sha2(owner.cast("string"), 256).alias("id_pedido"),
+        F.concat(F.lit("M"), F.col("id") % 4).alias("forma_pagamento"),
+        F.lit(1.0).cast("float").alias("valor_pagamento"),
+        F.lit(False).alias("status"),
+        instant.alias("data_processamento"),
+        F.struct(F.lit(False).alias("fraude"), F.lit(0.5).cast("float").alias("score")).alias(
+            "avaliacao_fraude"
+        ),
+    ).repartition(4).write.parquet(f"{folder}/payments")
+    return spark.read.parquet(f"{folder}/orders"), spark.read.parquet(f"{folder}/payments")
+
+
+def exchanges(plan):
+    return re.findall(r"Exchange (\w+)", plan)
+
+
+def test_filters_and_columns_reach_the_scan(stored):
+    plan = executed_plan(audit_report(*stored))
+    assert "GreaterThanOrEqual(data_criacao_pedido,2025-01-01" in plan
+    assert "LessThan(data_criacao_pedido,2026-01-01" in plan
+    assert re.search(r"PushedFilters: \[[^]]*Not\(EqualTo\(status,true\)\)", plan) or (
+        "EqualTo(status,false)" in plan
+    )
+    assert "avaliacao_fraude.fraude" in plan
+    schemas = re.findall(r"ReadSchema: (struct<.*>)", plan)
+    assert schemas == [
+        "struct<id_pedido:string,valor_unitario_pedido:float,quantidade_pedido:bigint,"
+        "data_criacao_pedido:timestamp,uf:string>",
+        "struct<id_pedido:string,forma_pagamento:string,status:boolean,"
+        "avaliacao_fraude:struct<fraude:boolean>>",
+    ]
+
+
+def test_each_side_is_reduced_before_its_only_exchange(stored, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = executed_plan(audit_report(*stored))
+    assert exchanges(plan) == ["rangepartitioning", "hashpartitioning", "hashpartitioning"]
+    partial_below_exchange = re.findall(
+        r"Exchange hashpartitioning\(id_pedido[^\n]*\n[^\n]*SortAggregate\([^\n]*partial_min", plan
+    )
+    assert len(partial_below_exchange) == 2
+    assert "SortMergeJoin" in plan
+
+
+def test_dedup_of_reduced_matches_adds_no_exchange(stored, setting):
+    order_rows, payment_rows = stored
+    for threshold in ("-1", "10MB"):
+        setting("spark.sql.autoBroadcastJoinThreshold", threshold)
+        reduced = best_matches(with_order_total(orders_of_year(order_rows)), refused_payments(payment_rows))
+        kinds = [k for k in exchanges(executed_plan(one_per_key(reduced))) if k == "hashpartitioning"]
+        assert len(kinds) == 2
+
+
+def test_a_hot_order_ships_one_row_per_task(stored, setting):
+    """Counts the rows that leave the map side of the payments' exchange."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.enabled", "false")
+    _, payment_rows = stored
+    refused = refused_payments(payment_rows).select("id_pedido", "forma_pagamento")
+    hot = refused.filter(F.col("id_pedido") == F.sha2(F.lit("7500"), 256))
+    assert hot.count() > 20_000
+    reduced = one_per_key(hot, smallest_by=["forma_pagamento"])
+    plan = reduced._jdf.queryExecution().executedPlan()
+    assert values(reduced, "forma_pagamento") == [("M0",)]
+    plan.execute().count()
+    exchange = next(
+        node
+        for node in iter_nodes(plan)
+        if node.nodeName() == "Exchange"
+    )
+    written = exchange.metrics().apply("shuffleRecordsWritten").value()
+    assert 1 <= written <= hot.rdd.getNumPartitions()
+
+
+def iter_nodes(plan):
+    yield plan
+    children = plan.children()
+    for index in range(children.size()):
+        yield from iter_nodes(children.apply(index))
+
+
+def test_no_python_worker_and_no_cross_join(stored):
+    plan = executed_plan(audit_report(*stored)) + executed_plan(plain_report(*stored))
+    assert not re.search(r"EvalPython|InPandas|InArrow|CartesianProduct|NestedLoop", plan)
+
+
+def test_broadcast_is_decided_by_measured_size(stored, setting):
+    """Statistics before the run call a side small; the run measures it and does not broadcast."""
+    setting("spark.sql.sources.fileCompressionFactor", "0.001")
+    setting("spark.sql.autoBroadcastJoinThreshold", "50KB")
+    df = audit_report(*stored)
+    assert "BroadcastHashJoin" in executed_plan(df)
+    assert "SortMergeJoin" in final_plan(df)
+    assert "BroadcastHashJoin" not in final_plan(df)
+
+
+def test_columns_of_matches_are_pruned(stored):
+    df = report_columns(match_payments(with_order_total(stored[0]), stored[1]))
+    assert "status" not in re.findall(r"ReadSchema: (struct<.*>)", executed_plan(df))[1]

@@ -1,0 +1,265 @@
+import gzip
+import json
+from datetime import datetime
+from types import SimpleNamespace
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from declined import schemas
+from declined.sources import (
+    ContractViolation,
+    contract_violations,
+    read_orders,
+    read_payments,
+    replace_parquet,
+    require_contract,
+    scratch_path,
+    stage_parquet,
+    written_table,
+)
+from frames import orders, payments, values
+
+HEADER = "id_pedido;produto;valor_unitario_pedido;quantidade_pedido;data_criacao_pedido;uf;id_cliente"
+ROW = "p1;TV;1500.5;2;2025-03-01T10:20:30;SP;7"
+PAYMENT = {
+    "id_pedido": "p1",
+    "forma_pagamento": "pix",
+    "valor_pagamento": 10.5,
+    "status": False,
+    "data_processamento": "2025-03-01T10:20:30",
+    "avaliacao_fraude": {"fraude": False, "score": 0.25},
+}
+
+
+@pytest.fixture
+def orders_file(tmp_path):
+    def write(*lines, name="part.csv.gz"):
+        with gzip.open(tmp_path / name, "wt", encoding="utf-8") as out:
+            out.writelines(line + "\n" for line in lines)
+        return str(tmp_path / "*.csv.gz")
+
+    return write
+
+
+@pytest.fixture
+def payments_file(tmp_path):
+    def write(*records):
+        with gzip.open(tmp_path / "part.json.gz", "wt", encoding="utf-8") as out:
+            out.writelines((r if isinstance(r, str) else json.dumps(r)) + "\n" for r in records)
+        return str(tmp_path / "*.json.gz")
+
+    return write
+
+
+# --- delimited text
+
+
+def test_orders_values_and_types(spark, orders_file):
+    orders_file(HEADER, ROW)
+    df = read_orders(spark, orders_file(HEADER, "p2;;;;;;", name="other.csv.gz"))
+    assert [(f.name, f.dataType) for f in df.schema] == [
+        (f.name, f.dataType) for f in schemas.orders_schema()
+    ]
+    assert sorted(values(df, "*"), key=lambda row: row[0]) == [
+        ("p1", "TV", 1500.5, 2, datetime(2025, 3, 1, 10, 20, 30), "SP", 7),
+        ("p2", None, None, None, None, None, None),
+    ]
+
+
+def test_orders_without_header_and_with_another_separator(spark, orders_file):
+    path = orders_file(ROW.replace(";", "|"))
+    assert read_orders(spark, path, separator="|", header=False).count() == 1
+
+
+def test_header_only_is_empty(spark, orders_file):
+    assert read_orders(spark, orders_file(HEADER)).isEmpty()
+
+
+def test_empty_id_loads_as_null(spark, orders_file):
+    df = read_orders(spark, orders_file(HEADER, ROW.replace("p1", "", 1)))
+    assert values(df, "id_pedido") == [(None,)]
+
+
+def test_orders_accept_a_list_of_paths(spark, orders_file, tmp_path):
+    orders_file(HEADER, ROW, name="a.csv.gz")
+    orders_file(HEADER, ROW, name="b.csv.gz")
+    paths = [str(tmp_path / "a.csv.gz"), str(tmp_path / "b.csv.gz")]
+    assert read_orders(spark, paths).count() == 2
+
+
+@pytest.mark.parametrize(
+    "lines",
+    [
+        (HEADER, "p1;TV;1500.5;2;2025-03-01T10:20:30;SP"),
+        (HEADER, ROW + ";extra"),
+        (HEADER, ROW.replace("1500.5", "dear")),
+        (HEADER, ROW, ROW.replace("2025-03-01", "yesterday")),
+        (HEADER.replace("uf;id_cliente", "id_cliente;uf"), ROW),
+        (HEADER.replace("id_pedido;produto", "produto;id_pedido"), ROW),
+    ],
+    ids=["short", "long", "bad float", "bad date", "swapped header", "swapped strings"],
+)
+def test_malformed_orders_fail_the_job(spark, orders_file, lines):
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED|header"):
+        read_orders(spark, orders_file(*lines)).collect()
+
+
+def test_missing_path_raises_at_once(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_orders(spark, str(tmp_path / "none.csv.gz"))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_payments(spark, str(tmp_path / "none.json.gz"))
+
+
+def test_broken_gzip_fails_the_job(spark, tmp_path):
+    (tmp_path / "part.csv.gz").write_bytes(b"this is no gzip")
+    with pytest.raises(Exception, match="FAILED_READ_FILE|not in gzip"):
+        read_orders(spark, str(tmp_path / "part.csv.gz")).collect()
+
+
+# --- JSON Lines
+
+
+def test_payments_values_and_types(spark, payments_file):
+    df = read_payments(spark, payments_file(PAYMENT))
+    assert [(f.name, f.dataType) for f in df.schema] == [
+        (f.name, f.dataType) for f in schemas.payments_schema()
+    ]
+    assert values(df, "*") == [
+        ("p1", "pix", 10.5, False, datetime(2025, 3, 1, 10, 20, 30), (False, 0.25))
+    ]
+
+
+def test_missing_and_extra_json_fields(spark, payments_file):
+    path = payments_file({"id_pedido": "p1", "other": 1, "avaliacao_fraude": {"score": 0.5}})
+    assert values(read_payments(spark, path), "*") == [("p1", None, None, None, None, (None, 0.5))]
+
+
+def test_null_evaluation(spark, payments_file):
+    df = read_payments(spark, payments_file({**PAYMENT, "avaliacao_fraude": None}))
+    assert values(df, "avaliacao_fraude", "avaliacao_fraude.fraude") == [(None, None)]
+
+
+@pytest.mark.parametrize(
+    "record",
+    ['{"id_pedido": "p1"', {**PAYMENT, "status": "maybe"}, {**PAYMENT, "valor_pagamento": "dear"}],
+    ids=["broken", "bad boolean", "bad float"],
+)
+def test_malformed_payments_fail_the_job(spark, payments_file, record):
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
+        read_payments(spark, payments_file(PAYMENT, record)).collect()
+
+
+# --- contract
+
+CONTRACT = schemas.report_schema()
+
+
+def test_contract_ignores_nullability():
+    nullable = StructType()
+    for field in CONTRACT:
+        nullable.add(field.name, field.dataType, True)
+    assert contract_violations(nullable, CONTRACT) == []
+
+
+def test_contract_violations_are_named():
+    names = CONTRACT.fieldNames()
+    swapped = StructType([CONTRACT[1], CONTRACT[0], *CONTRACT.fields[2:]])
+    assert len(contract_violations(swapped, CONTRACT)) == 2
+    shorter = StructType(CONTRACT.fields[:-1])
+    assert contract_violations(shorter, CONTRACT) == [f"column 5: missing {names[-1]} timestamp"]
+    longer = StructType([*CONTRACT.fields]).add("status", "boolean")
+    assert contract_violations(longer, CONTRACT) == ["column 6: unexpected status boolean"]
+    retyped = StructType([*CONTRACT.fields[:3]]).add(names[3], "float").add(CONTRACT[4])
+    assert contract_violations(retyped, CONTRACT) == [
+        f"column 4: {names[3]} float instead of {names[3]} double"
+    ]
+
+
+def test_require_contract(spark):
+    good = spark.createDataFrame([], CONTRACT)
+    assert require_contract(good) is good
+    with pytest.raises(ContractViolation) as raised:
+        require_contract(good.drop("uf"))
+    assert isinstance(raised.value, AnalysisException)
+    assert "expected: struct<id_pedido:string,uf:string" in str(raised.value)
+    assert "received: struct<id_pedido:string,forma_pagamento:string" in str(raised.value)
+
+
+# --- Parquet sink
+
+
+def visible_and_hidden(folder):
+    return sorted(entry.name for entry in folder.iterdir())
+
+
+def test_replace_creates_and_replaces(spark, tmp_path):
+    target = tmp_path / "deep" / "report"
+    replace_parquet(spark.range(3), str(target))
+    replace_parquet(spark.range(10, 12), str(target))
+    assert sorted(values(spark.read.parquet(str(target)), "id")) == [(10,), (11,)]
+    assert visible_and_hidden(target.parent) == ["report"]
+
+
+def test_failed_write_leaves_the_old_output(spark, tmp_path):
+    target = tmp_path / "report"
+    replace_parquet(spark.range(3), str(target))
+    poison = spark.range(100).select(F.raise_error(F.lit("poison")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="poison"):
+        replace_parquet(poison, str(target))
+    assert spark.read.parquet(str(target)).count() == 3
+    assert visible_and_hidden(tmp_path) == ["report"]
+
+
+def test_a_plan_may_replace_its_own_input(spark, tmp_path):
+    target = str(tmp_path / "report")
+    replace_parquet(spark.range(3), target)
+    replace_parquet(spark.read.parquet(target).selectExpr("id + 1 as id"), target)
+    assert sorted(values(spark.read.parquet(target), "id")) == [(1,), (2,), (3,)]
+
+
+def test_written_table_is_deleted_also_on_failure(spark, tmp_path):
+    with written_table(spark.range(3), str(tmp_path / "scratch")) as df:
+        assert df.count() == 3
+    with pytest.raises(RuntimeError), written_table(spark.range(3), str(tmp_path / "scratch")):
+        raise RuntimeError
+    assert visible_and_hidden(tmp_path) == []
+
+
+def test_scratch_follows_the_session(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = (scratch_path(spark, otherwise="/elsewhere") for _ in range(2))
+    assert first != second
+    assert {first.rpartition("/")[0], second.rpartition("/")[0]} == {shared}
+
+
+def test_scratch_without_a_shared_folder():
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
+    assert scratch_path(session, otherwise="/elsewhere") == "/elsewhere"
+
+
+# --- staging
+
+
+def test_staged_copy_equals_the_text(spark, orders_file, tmp_path):
+    late, early = ROW.replace("p1", "p2"), ROW.replace("2025-03", "2025-01")
+    df = read_orders(spark, orders_file(HEADER, late, early))
+    staged = stage_parquet(df, str(tmp_path / "staged"), ["data_criacao_pedido"])
+    assert staged.schema == df.schema
+    assert values(staged, "id_pedido") == [("p1",), ("p2",)]
+
+
+def test_staging_checks_columns_a_report_does_not_read(spark, payments_file, tmp_path):
+    df = read_payments(spark, payments_file(PAYMENT, {**PAYMENT, "valor_pagamento": "dear"}))
+    assert df.select("id_pedido", "forma_pagamento").count() == 2
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
+        stage_parquet(df, str(tmp_path / "staged"))
+
+
+def test_literal_frames_round_trip_through_staging(spark, tmp_path):
+    for name, df in (("o", orders(spark, {})), ("p", payments(spark, {}, {"avaliacao_fraude": None}))):
+        staged = stage_parquet(df, str(tmp_path / name))
+        assert sorted(values(staged, "*"), key=str) == sorted(values(df, "*"), key=str)
