@@ -5,8 +5,10 @@ from declined.operators.filters import orders_of_year, refused_payments
 from declined.operators.joins import match_payments
 from declined.operators.ordering import in_report_order
 from declined.operators.projections import lift_field, report_columns, with_order_total
+from declined.operators.skew import hot_keys
 
 __all__ = [
+    "hot_keys",
     "in_report_order",
     "lift_field",
     "match_payments",

@@ -1,21 +1,46 @@
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from declined import schemas
 from declined.operators.projections import lift_field
 
 
-def match_payments(orders: DataFrame, payments: DataFrame, key: str = schemas.KEY) -> DataFrame:
+def match_payments(
+    orders: DataFrame,
+    payments: DataFrame,
+    key: str = schemas.KEY,
+    hot: Collection[str] = (),
+    slices: int | None = None,
+) -> DataFrame:
     """Every pair of an order and one of its payments, as the seven match columns.
 
     Inner equi-join with bag semantics: an order appears once per payment, orders
     without one and NULL keys vanish.  ``orders`` must already carry its total.
 
-    No strategy is forced.  Spark broadcasts a side only when its measured size is
-    below ``autoBroadcastJoinThreshold``; otherwise both sides are hashed on the key,
-    and adaptive execution splits a partition made large by one hot key.
+    No strategy is forced.  Spark broadcasts a side only when its measured size is below
+    ``autoBroadcastJoinThreshold``; otherwise both sides are hashed on the key.
+
+    The payments of a key named in ``hot`` (see ``hot_keys``) are spread over ``slices``
+    tasks, by default as many as there are shuffle partitions, and its order is copied to
+    each.  Adaptive execution alone would often not split them: it goes by bytes, and the
+    equal rows of a hot key compress to few.  The slice is a function of the task, not
+    random, so that a task that is run again after the loss of an executor sends every
+    row to the same place.
     """
     left = orders.select(key, "uf", "valor_total_pedido", "data_criacao_pedido")
     right = lift_field(payments).select(key, "forma_pagamento", schemas.STATUS, "fraude")
-    return left.join(right, key, "inner").select(key, *schemas.MATCH_COLUMNS[1:])
+    on = [key]
+    if hot:
+        on = [key, "slice"]
+        slices = slices or int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        is_hot = F.col(key).isin(*hot)
+        all_slices = F.sequence(F.lit(0), F.lit(slices - 1))
+        one_slice = F.array(F.lit(0))
+        left = left.withColumn("slice", F.explode(F.when(is_hot, all_slices).otherwise(one_slice)))
+        by_task = F.spark_partition_id() % slices
+        right = right.withColumn("slice", F.when(is_hot, by_task).otherwise(0))
+    return left.join(right, on, "inner").select(key, *schemas.MATCH_COLUMNS[1:])

@@ -1,0 +1,29 @@
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from declined import schemas
+
+
+def hot_keys(
+    df: DataFrame,
+    key: str = schemas.KEY,
+    at_least: int = 1_000_000,
+    fraction: float = 0.01,
+    at_most: int = 1000,
+) -> list[str]:
+    """Keys estimated to hold ``at_least`` rows, the largest ``at_most`` of them.
+
+    Runs a job: a sample, counted per key, of which a bounded list reaches the driver.
+    The sample only decides which keys a join spreads over several tasks, never which
+    rows it sees.  A key that is left out is joined like any other; it holds at most one
+    row in ``at_most``.
+    """
+    counts = df.sample(fraction, seed=0).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    largest = (
+        counts.filter(F.col(key).isNotNull() & (F.col("n") >= at_least * fraction))
+        .orderBy(F.desc("n"), key)
+        .limit(at_most)
+    )
+    return [row[key] for row in largest.collect()]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from declined import schemas
 from declined.operators import (
+    hot_keys,
     in_report_order,
     match_payments,
     orders_of_year,
@@ -65,7 +66,7 @@ def write_audit(
     if show_previews:
         preview(payments)
         preview(orders)
-        preview(match_payments(in_scope, refused), 10)
+        preview(match_payments(in_scope, refused, hot=hot_keys(refused)), 10)
 
     counter = Observation()
     counted = best.observe(counter, F.count(F.lit(1)).alias("rows"))

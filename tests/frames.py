@@ -43,3 +43,19 @@ def final_plan(df):
     """The plan adaptive execution ended with, after ``df`` was collected."""
     df.collect()
     return executed_plan(df).split("== Initial Plan ==")[0]
+
+
+def plan_nodes(plan, name):
+    """The nodes of a JVM physical plan whose name starts with ``name``."""
+    found = [plan] if plan.nodeName().startswith(name) else []
+    children = plan.children()
+    for index in range(children.size()):
+        found += plan_nodes(children.apply(index), name)
+    return found
+
+
+def run_unadapted(df):
+    """Runs ``df``, with adaptive execution off, and returns its physical plan with metrics."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    return plan

@@ -1,5 +1,6 @@
 """The report plan: same rows as the plain composition, and the physical plan we want."""
 
+import hashlib
 import random
 import re
 from datetime import datetime, timedelta
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from declined.operators import (
+    hot_keys,
     match_payments,
     one_per_key,
     orders_of_year,
@@ -16,7 +18,16 @@ from declined.operators import (
     with_order_total,
 )
 from declined.plans import audit_report, best_matches, report_of_matches
-from frames import DAY, executed_plan, final_plan, orders, payments, values
+from frames import (
+    DAY,
+    executed_plan,
+    final_plan,
+    orders,
+    payments,
+    plan_nodes,
+    run_unadapted,
+    values,
+)
 
 
 def plain_report(order_rows, payment_rows, year=2025):
@@ -163,23 +174,57 @@ def test_a_hot_order_ships_one_row_per_task(stored, setting):
     hot = refused.filter(F.col("id_pedido") == F.sha2(F.lit("7500"), 256))
     assert hot.count() > 20_000
     reduced = one_per_key(hot, smallest_by=["forma_pagamento"])
-    plan = reduced._jdf.queryExecution().executedPlan()
     assert values(reduced, "forma_pagamento") == [("M0",)]
-    plan.execute().count()
-    exchange = next(
-        node
-        for node in iter_nodes(plan)
-        if node.nodeName() == "Exchange"
-    )
+    (exchange,) = plan_nodes(run_unadapted(reduced), "Exchange")
     written = exchange.metrics().apply("shuffleRecordsWritten").value()
     assert 1 <= written <= hot.rdd.getNumPartitions()
 
 
-def iter_nodes(plan):
-    yield plan
-    children = plan.children()
-    for index in range(children.size()):
-        yield from iter_nodes(children.apply(index))
+# --- the join of all pairs with a hot key
+
+
+HOT = hashlib.sha256(b"7500").hexdigest()
+
+
+def test_hot_keys_are_estimated_from_a_sample(stored, messy):
+    refused = refused_payments(stored[1])
+    assert hot_keys(refused) == []
+    assert hot_keys(refused, at_least=10_000, fraction=0.1) == [HOT]
+    assert hot_keys(refused, at_least=1, fraction=1.0, at_most=5)[0] == HOT
+    assert len(hot_keys(refused, at_least=1, fraction=1.0, at_most=5)) == 5
+    assert None not in hot_keys(messy[1], at_least=1, fraction=1.0)
+
+
+@pytest.mark.parametrize("slices", [None, 1, 3])
+@pytest.mark.parametrize("threshold", ["10MB", "-1"], ids=["broadcast", "sort-merge"])
+def test_spreading_hot_keys_keeps_every_pair(messy, setting, threshold, slices):
+    setting("spark.sql.autoBroadcastJoinThreshold", threshold)
+    left, right = with_order_total(messy[0]), messy[1].repartition(7)
+    expected = match_payments(left, right)
+    actual = match_payments(left, right, hot=["hot", "7", "not there"], slices=slices)
+    assert actual.columns == expected.columns
+    assert sorted(map(str, actual.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_a_hot_key_is_spread_over_tasks(stored, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.enabled", "false")
+    left, right = with_order_total(stored[0]), refused_payments(stored[1])
+
+    def largest_task(pairs):
+        return max(r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect())
+
+    assert largest_task(match_payments(left, right)) > 20_000
+    assert largest_task(match_payments(left, right, hot=[HOT])) < 20_000
+    assert match_payments(left, right, hot=[HOT]).count() == 60_000
+
+
+def test_report_of_spread_matches(stored):
+    order_rows, payment_rows = stored
+    pairs = match_payments(
+        with_order_total(orders_of_year(order_rows)), refused_payments(payment_rows), hot=[HOT]
+    )
+    assert report_of_matches(pairs).collect() == audit_report(*stored).collect()
 
 
 def test_no_python_worker_and_no_cross_join(stored):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from declined import schemas
+from declined.operators import orders_of_year
 from declined.sources import (
     ContractViolation,
     contract_violations,
@@ -20,7 +21,7 @@ from declined.sources import (
     stage_parquet,
     written_table,
 )
-from frames import orders, payments, values
+from frames import orders, payments, plan_nodes, run_unadapted, values
 
 HEADER = "id_pedido;produto;valor_unitario_pedido;quantidade_pedido;data_criacao_pedido;uf;id_cliente"
 ROW = "p1;TV;1500.5;2;2025-03-01T10:20:30;SP;7"
@@ -252,6 +253,19 @@ def test_staged_copy_equals_the_text(spark, orders_file, tmp_path):
     assert values(staged, "id_pedido") == [("p1",), ("p2",)]
 
 
+def test_a_range_filter_skips_most_of_a_sorted_copy(spark, setting, tmp_path):
+    setting("spark.sql.adaptive.enabled", "false")
+    before = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    four_years = spark.range(400_000, numPartitions=1).select(
+        F.timestamp_seconds(F.lit(1672531200) + F.pmod(F.xxhash64("id"), F.lit(126230400))).alias("d")
+    )
+    staged = stage_parquet(four_years, str(tmp_path / "staged"), ["d"])
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == before
+    one_year = orders_of_year(staged, 2025, column="d")
+    (scan,) = plan_nodes(run_unadapted(one_year), "Scan parquet")
+    assert one_year.count() <= scan.metrics().apply("numOutputRows").value() < 200_000
+
+
 def test_staging_checks_columns_a_report_does_not_read(spark, payments_file, tmp_path):
     df = read_payments(spark, payments_file(PAYMENT, {**PAYMENT, "valor_pagamento": "dear"}))
     assert df.select("id_pedido", "forma_pagamento").count() == 2
