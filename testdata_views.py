@@ -14,10 +14,25 @@ from pyspark.sql import functions as F
 YEAR = 1998
 TIMESTAMP = "timestamp_ntz"
 
+# Columns in use; declared, so that no job has to read them off the files first.
+TABLES = {
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE,
+                 o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING",
+    "lineitem": """l_orderkey BIGINT, l_linenumber INT, l_extendedprice DOUBLE,
+                   l_discount DOUBLE, l_returnflag STRING, l_linestatus STRING,
+                   l_shipdate TIMESTAMP_NTZ""",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
 
 def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation = (
-        spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("orders", "customer", "nation")
+        table(spark, sf_dir, name) for name in ("orders", "customer", "nation")
     )
     return (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -36,7 +51,7 @@ def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payments_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = F.col("l_returnflag")
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("id_pedido"),
         F.concat(F.lit("M"), F.col("l_linenumber").cast("string")).alias("forma_pagamento"),
         F.col("l_extendedprice").cast("float").alias("valor_pagamento"),
