@@ -22,6 +22,4 @@ def one_per_key(
     """
     rest = [c for c in df.columns if c != key and c not in smallest_by]
     row = F.min(F.struct(*smallest_by, *rest)).alias("row")
-    return df.groupBy(key).agg(row).select(
-        *(key if c == key else F.col("row").getField(c).alias(c) for c in df.columns)
-    )
+    return df.groupBy(key).agg(row).select(*(c if c == key else f"row.`{c}`" for c in df.columns))

@@ -26,10 +26,10 @@ def match_payments(
 
     The payments of a key named in ``hot`` (see ``hot_keys``) are spread over ``slices``
     tasks, by default as many as there are shuffle partitions, and its order is copied to
-    each.  Adaptive execution alone would often not split them: it goes by bytes, and the
-    equal rows of a hot key compress to few.  The slice is a function of the task, not
-    random, so that a task that is run again after the loss of an executor sends every
-    row to the same place.
+    each.  Adaptive execution splits by compressed bytes, which a hot key's equal rows
+    understate, and not at all under an aggregate on the key.  The slice is a function of
+    the task, not random, so that a task that is run again after the loss of an executor
+    sends every row to the same place.
     """
     left = orders.select(key, "uf", "valor_total_pedido", "data_criacao_pedido")
     right = lift_field(payments).select(key, "forma_pagamento", schemas.STATUS, "fraude")

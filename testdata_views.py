@@ -31,36 +31,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, customer, nation = (
-        table(spark, sf_dir, name) for name in ("orders", "customer", "nation")
-    )
     return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("o_orderkey").cast("string").alias("id_pedido"),
-            F.col("o_orderpriority").alias("produto"),
-            F.col("o_totalprice").cast("float").alias("valor_unitario_pedido"),
-            (F.col("o_orderkey") % 5).alias("quantidade_pedido"),
-            F.col("o_orderdate").alias("data_criacao_pedido"),
-            F.col("n_name").alias("uf"),
-            F.col("o_custkey").alias("id_cliente"),
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .selectExpr(
+            "CAST(o_orderkey AS STRING) AS id_pedido",
+            "o_orderpriority AS produto",
+            "CAST(o_totalprice AS FLOAT) AS valor_unitario_pedido",
+            "o_orderkey % 5 AS quantidade_pedido",
+            "o_orderdate AS data_criacao_pedido",
+            "n_name AS uf",
+            "o_custkey AS id_cliente",
         )
     )
 
 
 def payments_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flag = F.col("l_returnflag")
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").cast("string").alias("id_pedido"),
-        F.concat(F.lit("M"), F.col("l_linenumber").cast("string")).alias("forma_pagamento"),
-        F.col("l_extendedprice").cast("float").alias("valor_pagamento"),
-        F.when(flag == "R", False).when(flag == "A", True).alias("status"),
-        F.col("l_shipdate").alias("data_processamento"),
-        F.struct(
-            (F.col("l_linestatus") == "O").alias("fraude"),
-            F.col("l_discount").cast("float").alias("score"),
-        ).alias("avaliacao_fraude"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(l_orderkey AS STRING) AS id_pedido",
+        "'M' || CAST(l_linenumber AS STRING) AS forma_pagamento",
+        "CAST(l_extendedprice AS FLOAT) AS valor_pagamento",
+        "CASE l_returnflag WHEN 'R' THEN false WHEN 'A' THEN true END AS status",
+        "l_shipdate AS data_processamento",
+        """named_struct('fraude', l_linestatus = 'O',
+                        'score', CAST(l_discount AS FLOAT)) AS avaliacao_fraude""",
     )
 
 

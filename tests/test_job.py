@@ -1,6 +1,9 @@
 import gzip
 import json
 import logging
+import re
+import subprocess
+import sys
 from datetime import datetime
 from pathlib import Path
 
@@ -9,6 +12,9 @@ import pytest
 from declined.plans import AuditOutcome, audit_report, job, run_audit
 from declined.plans.job import main
 from declined.sources import read_orders, read_payments
+from frames import executed_plan
+
+JOB = Path(__file__).resolve().parent.parent / "audit_job.py"
 
 HEADER = "id_pedido;produto;valor_unitario_pedido;quantidade_pedido;data_criacao_pedido;uf;id_cliente"
 
@@ -112,6 +118,18 @@ def test_the_text_is_read_once(spark, inputs, tmp_path):
     assert ran.count(5) == 2
 
 
+def test_filters_and_columns_reach_the_text(spark, inputs):
+    orders_path, payments_path = inputs()
+    report = audit_report(read_orders(spark, orders_path), read_payments(spark, payments_path))
+    plan = executed_plan(report)
+    assert "GreaterThanOrEqual(data_criacao_pedido,2025-01-01" in plan
+    assert "LessThan(data_criacao_pedido,2026-01-01" in plan
+    assert "Not(EqualTo(status,true))" in plan
+    read = re.findall(r"ReadSchema: (struct<.*>)", plan)
+    assert not re.search("produto|id_cliente", read[0])
+    assert not re.search("valor_pagamento|data_processamento", read[1])
+
+
 def test_an_older_report_is_replaced(spark, inputs, tmp_path):
     output = str(tmp_path / "report")
     paths = inputs()
@@ -170,17 +188,34 @@ def test_command_line(spark, setting, inputs, tmp_path):
         for p in ("p1", "p2")
     ]
     orders_path, payments_path = inputs(orders, payments)
-    options = ["--orders", orders_path, "--payments", payments_path, "--output", str(tmp_path / "r")]
+    output = str(tmp_path / "r")
+    options = ["--orders", orders_path, "--payments", payments_path, "--output", output]
     main([*options, "--time-zone", "America/Sao_Paulo"])
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "r")).collect()] == [
+    assert [tuple(r) for r in spark.read.parquet(output).collect()] == [
         ("p2", "SP", "pix", 5.0, datetime(2025, 6, 1))
     ]
     main([*options, "--time-zone", "UTC"])
-    assert [r.id_pedido for r in spark.read.parquet(str(tmp_path / "r")).collect()] == ["p1", "p2"]
+    assert [r.id_pedido for r in spark.read.parquet(output).collect()] == ["p1", "p2"]
 
 
 def test_command_line_errors_propagate(spark, tmp_path):
     missing = str(tmp_path / "none")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         main(["--orders", missing, "--payments", missing, "--output", str(tmp_path / "r")])
+
+
+def test_script_as_its_own_process(inputs, tmp_path):
+    """Exits zero with a report, non-zero without."""
+    orders_path, payments_path = inputs()
+    output = tmp_path / "report"
+
+    def run(orders):
+        command = [sys.executable, JOB, "--orders", orders, "--payments", payments_path]
+        return subprocess.run(
+            [*command, "--output", output, "--time-zone", "UTC"], capture_output=True, timeout=300
+        ).returncode
+
+    assert run(orders_path) == 0
+    assert (output / "_SUCCESS").exists()
+    assert run(str(tmp_path / "none")) != 0
