@@ -20,7 +20,7 @@ def hot_keys(
     rows it sees.  A key that is left out is joined like any other; it holds at most one
     row in ``at_most``.
     """
-    counts = df.sample(fraction, seed=0).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.sample(fraction, seed=1).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     largest = (
         counts.filter(F.col(key).isNotNull() & (F.col("n") >= at_least * fraction))
         .orderBy(F.desc("n"), key)
