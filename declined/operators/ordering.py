@@ -7,10 +7,19 @@ from pyspark.sql import DataFrame
 from declined import schemas
 
 
-def in_report_order(df: DataFrame, columns: Sequence[str] = schemas.REPORT_ORDER) -> DataFrame:
+def in_report_order(
+    df: DataFrame,
+    columns: Sequence[str] = schemas.REPORT_ORDER,
+    spread_by: Sequence[str] = (),
+) -> DataFrame:
     """Global ascending sort, NULLs first.
 
     The key at the end makes the order total and lets Spark's range partitioning cut
     through any run of rows that agree on state, method and date.
+
+    A global sort first runs its input to sample it, and then again to shuffle it.  The
+    rebalance keeps the rows in shuffle files, so that a join or aggregate below runs
+    once.  It deals the rows out evenly; ``spread_by`` hashes them instead, which is
+    cheaper, and is meant for columns whose values hardly repeat.
     """
-    return df.orderBy(*columns, ascending=True)
+    return df.hint("rebalance", *spread_by).orderBy(*columns, ascending=True)

@@ -11,22 +11,18 @@ from pyspark.sql import functions as F
 from declined import schemas
 from declined.operators import (
     hot_keys,
-    in_report_order,
     match_payments,
     orders_of_year,
     refused_payments,
     with_order_total,
 )
-from declined.plans.report import best_matches
+from declined.plans.report import audit_report
 from declined.sources import (
     read_orders,
     read_payments,
     replace_parquet,
     require_contract,
-    scratch_path,
-    sibling,
     stage_parquet,
-    written_table,
 )
 
 logger = logging.getLogger(__name__)
@@ -54,30 +50,25 @@ def write_audit(
 ) -> AuditOutcome:
     """Writes the report on the given frames to ``output_path``, replacing an older one.
 
-    The inputs are read once.  The unsorted report goes to a scratch table first: a
-    global sort samples its input before it shuffles it, and would otherwise run the
-    whole join twice.  Its rows are counted by the same write; only if there are none
-    are the inputs looked at, to tell an empty input from one with nothing to report.
+    One plan and one write, which also counts the rows.  Only if there are none are the
+    inputs looked at, to tell an empty input from one with nothing to report.
     """
-    spark = orders.sparkSession
-    in_scope = orders.transform(orders_of_year, year).transform(with_order_total)
-    refused = refused_payments(payments)
-    best = require_contract(best_matches(in_scope, refused), schemas.report_schema(timestamp))
+    report = audit_report(orders, payments, year)
+    require_contract(report, schemas.report_schema(timestamp))
     if show_previews:
+        in_scope = orders.transform(orders_of_year, year).transform(with_order_total)
+        refused = refused_payments(payments)
         preview(payments)
         preview(orders)
         preview(match_payments(in_scope, refused, hot=hot_keys(refused)), 10)
 
     counter = Observation()
-    counted = best.observe(counter, F.count(F.lit(1)).alias("rows"))
-    scratch = scratch_path(spark, otherwise=sibling(spark, output_path, "unsorted"))
-    with written_table(counted, scratch) as unsorted:
-        report_rows = counter.get.get("rows", 0)
-        report = in_report_order(unsorted)
-        if show_previews:
-            preview(report, 10)
-        replace_parquet(report, output_path)
+    replace_parquet(report.observe(counter, F.count(F.lit(1)).alias("rows")), output_path)
+    report_rows = counter.get.get("rows", 0)
     logger.info("%d report rows written to %s", report_rows, output_path)
+    if show_previews:
+        written = orders.sparkSession.read.schema(report.schema).parquet(output_path)
+        preview(written.orderBy(*schemas.REPORT_ORDER), 10)
 
     empty = ()
     if report_rows == 0:

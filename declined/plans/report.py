@@ -15,7 +15,8 @@ from declined.operators import (
 
 def report_of_matches(matches: DataFrame) -> DataFrame:
     """The report of a frame of matches: five columns, one row per order, sorted."""
-    return matches.transform(report_columns).transform(one_per_key).transform(in_report_order)
+    reduced = matches.transform(report_columns).transform(one_per_key)
+    return in_report_order(reduced, spread_by=[schemas.KEY])
 
 
 def best_matches(orders: DataFrame, payments: DataFrame) -> DataFrame:
@@ -43,4 +44,5 @@ def best_matches(orders: DataFrame, payments: DataFrame) -> DataFrame:
 def audit_report(orders: DataFrame, payments: DataFrame, year: int = 2025) -> DataFrame:
     """Orders of ``year`` whose payment was refused though legitimate, in report order."""
     in_scope = orders.transform(orders_of_year, year).transform(with_order_total)
-    return best_matches(in_scope, refused_payments(payments)).transform(in_report_order)
+    reduced = best_matches(in_scope, refused_payments(payments))
+    return in_report_order(reduced, spread_by=[schemas.KEY])

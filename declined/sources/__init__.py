@@ -1,8 +1,7 @@
-"""Readers, the report contract, the Parquet sink and scratch tables."""
+"""Readers, the report contract and the Parquet sink."""
 
 from declined.sources.contract import ContractViolation, contract_violations, require_contract
-from declined.sources.parquet import replace_parquet, sibling, stage_parquet, written_table
-from declined.sources.scratch import scratch_path
+from declined.sources.parquet import replace_parquet, stage_parquet
 from declined.sources.text import read_orders, read_payments
 
 __all__ = [
@@ -12,8 +11,5 @@ __all__ = [
     "read_payments",
     "replace_parquet",
     "require_contract",
-    "scratch_path",
-    "sibling",
     "stage_parquet",
-    "written_table",
 ]

@@ -29,13 +29,6 @@ def _timestamps_with_statistics(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def sibling(spark: SparkSession, path: str, suffix: str) -> str:
-    """A fresh name next to ``path``, hidden from readers of the parent folder."""
-    _, location = _locate(spark, path)
-    hidden = f".{location.getName()}.{uuid4().hex}.{suffix}"
-    return spark._jvm.org.apache.hadoop.fs.Path(location.getParent(), hidden).toString()
-
-
 def replace_parquet(df: DataFrame, path: str) -> None:
     """Writes ``df`` to ``path`` as Parquet, replacing what is there only once it is complete.
 
@@ -47,8 +40,10 @@ def replace_parquet(df: DataFrame, path: str) -> None:
     """
     spark = df.sparkSession
     fs, target = _locate(spark, path)
-    _, staging = _locate(spark, sibling(spark, path, "staging"))
-    _, previous = _locate(spark, sibling(spark, path, "previous"))
+    hidden = f".{target.getName()}.{uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    staging = hadoop_path(target.getParent(), f"{hidden}.staging")
+    previous = hadoop_path(target.getParent(), f"{hidden}.previous")
     try:
         df.write.parquet(staging.toString())
         had_previous = fs.exists(target)
@@ -64,21 +59,6 @@ def replace_parquet(df: DataFrame, path: str) -> None:
     fs.delete(previous, True)
 
 
-@contextmanager
-def written_table(df: DataFrame, path: str) -> Iterator[DataFrame]:
-    """``df`` computed once into Parquet at ``path`` and read back; deleted afterwards.
-
-    Cuts the lineage: what follows reads the files, whichever executors are lost.
-    """
-    spark = df.sparkSession
-    fs, location = _locate(spark, path)
-    try:
-        df.write.parquet(path)
-        yield spark.read.schema(df.schema).parquet(path)
-    finally:
-        fs.delete(location, True)
-
-
 def stage_parquet(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> DataFrame:
     """Copies a text input to Parquet at ``path`` and returns the copy.
 

@@ -9,7 +9,7 @@ from pathlib import Path
 
 import pytest
 
-from declined.plans import AuditOutcome, audit_report, job, run_audit
+from declined.plans import AuditOutcome, audit_report, run_audit
 from declined.plans.job import main
 from declined.sources import read_orders, read_payments
 from frames import executed_plan
@@ -85,23 +85,6 @@ def test_part_files_follow_the_report_order(spark, setting, inputs, tmp_path):
     assert order == sorted(order)
 
 
-def test_scratch_is_removed(spark, inputs, tmp_path):
-    shared = Path(spark.conf.get("spark.checkpoint.dir"))
-    before = visible_and_hidden(shared)
-    run_audit(spark, *inputs(), str(tmp_path / "report"))
-    assert visible_and_hidden(shared) == before
-
-
-def test_scratch_without_a_shared_folder_lies_next_to_the_report(
-    spark, inputs, tmp_path, monkeypatch
-):
-    used = []
-    monkeypatch.setattr(job, "scratch_path", lambda _, otherwise: used.append(otherwise) or otherwise)
-    run_audit(spark, *inputs(), str(tmp_path / "report"))
-    assert [Path(p.removeprefix("file:")).parent for p in used] == [tmp_path]
-    assert visible_and_hidden(tmp_path) == ["orders", "payments", "report"]
-
-
 def test_the_text_is_read_once(spark, inputs, tmp_path):
     """Only two stages have the inputs' five files as tasks: one scan of each input."""
     spark.sparkContext.setJobGroup("read once", "")

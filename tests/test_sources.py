@@ -1,7 +1,6 @@
 import gzip
 import json
 from datetime import datetime
-from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -17,9 +16,7 @@ from declined.sources import (
     read_payments,
     replace_parquet,
     require_contract,
-    scratch_path,
     stage_parquet,
-    written_table,
 )
 from frames import orders, payments, plan_nodes, run_unadapted, values
 
@@ -222,26 +219,6 @@ def test_a_plan_may_replace_its_own_input(spark, tmp_path):
     assert sorted(values(spark.read.parquet(target), "id")) == [(1,), (2,), (3,)]
 
 
-def test_written_table_is_deleted_also_on_failure(spark, tmp_path):
-    with written_table(spark.range(3), str(tmp_path / "scratch")) as df:
-        assert df.count() == 3
-    with pytest.raises(RuntimeError), written_table(spark.range(3), str(tmp_path / "scratch")):
-        raise RuntimeError
-    assert visible_and_hidden(tmp_path) == []
-
-
-def test_scratch_follows_the_session(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
-    first, second = (scratch_path(spark, otherwise="/elsewhere") for _ in range(2))
-    assert first != second
-    assert {first.rpartition("/")[0], second.rpartition("/")[0]} == {shared}
-
-
-def test_scratch_without_a_shared_folder():
-    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
-    assert scratch_path(session, otherwise="/elsewhere") == "/elsewhere"
-
-
 # --- staging
 
 
