@@ -1,0 +1,57 @@
+"""The derived orders when one customer placed a third of them."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from declined.operators import orders_of_year
+from declined.plans import audit_report
+from frames import final_plan
+from testdata_views import YEAR, orders_view, payments_view
+
+
+@pytest.fixture(scope="module")
+def hot_customer(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("tables")
+    number = F.xxhash64("id")
+    spark.range(60_000, numPartitions=4).select(
+        F.col("id").alias("o_orderkey"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.pmod(number, F.lit(20_000))).alias("o_custkey"),
+        (F.pmod(number, F.lit(10_000_000)) / 100).alias("o_totalprice"),
+        F.lit("1998-03-01").cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("5-LOW").alias("o_orderpriority"),
+    ).write.parquet(f"{folder}/orders.parquet")
+    spark.range(20_000, numPartitions=1).select(
+        F.col("id").alias("c_custkey"), (F.col("id") % 25).cast("int").alias("c_nationkey")
+    ).write.parquet(f"{folder}/customer.parquet")
+    spark.range(25).coalesce(1).select(
+        F.col("id").cast("int").alias("n_nationkey"), F.concat(F.lit("N"), "id").alias("n_name")
+    ).write.parquet(f"{folder}/nation.parquet")
+    spark.range(60_000, numPartitions=4).select(
+        F.col("id").alias("l_orderkey"),
+        (F.col("id") % 7).cast("int").alias("l_linenumber"),
+        F.lit(1.0).alias("l_extendedprice"),
+        F.lit(0.1).alias("l_discount"),
+        F.lit("R").alias("l_returnflag"),
+        F.lit("F").alias("l_linestatus"),
+        F.lit("1998-04-01").cast("timestamp_ntz").alias("l_shipdate"),
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("query", ["orders of a year", "report"])
+def test_a_hot_customer_is_split(spark, setting, hot_customer, query):
+    """Its orders differ, so their bytes show, and no later step is hashed by customer."""
+    setting("spark.sql.shuffle.partitions", "40")
+    setting("spark.sql.autoBroadcastJoinThreshold", "5KB")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "50KB")
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50KB")
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    orders = orders_view(spark, hot_customer)
+    if query == "report":
+        df = audit_report(orders, payments_view(spark, hot_customer), YEAR)
+    else:
+        df = orders_of_year(orders, YEAR)
+    plan = final_plan(df)
+    assert "BroadcastHashJoin [c_nationkey" in plan
+    assert "SortMergeJoin(skew=true) [o_custkey" in plan
+    assert df.count() == 60_000
