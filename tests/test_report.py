@@ -76,6 +76,12 @@ def test_dedup_below_the_join_equals_dedup_above_it(messy, setting, threshold):
     assert audit_report(*messy).collect() == expected
 
 
+def test_report_without_adaptive_execution(messy, setting):
+    expected = audit_report(*messy).collect()
+    setting("spark.sql.adaptive.enabled", "false")
+    assert audit_report(*messy).collect() == expected
+
+
 def test_report_does_not_depend_on_partitioning(messy):
     order_rows, payment_rows = messy
     expected = audit_report(*messy).collect()
