@@ -21,8 +21,10 @@ def match_payments(
     Inner equi-join with bag semantics: an order appears once per payment, orders
     without one and NULL keys vanish.  ``orders`` must already carry its total.
 
-    No strategy is forced.  Spark broadcasts a side only when its measured size is below
-    ``autoBroadcastJoinThreshold``; otherwise both sides are hashed on the key.
+    No strategy is forced.  Spark broadcasts a side whose estimated size is below
+    ``autoBroadcastJoinThreshold``; otherwise both sides are hashed on the key.  For a
+    side read straight from files the estimate is their bytes, compressed ones times
+    ``spark.sql.sources.fileCompressionFactor``, which gzip text needs raised.
 
     The payments of a key named in ``hot`` (see ``hot_keys``) are spread over ``slices``
     tasks, by default as many as there are shuffle partitions, and its order is copied to
