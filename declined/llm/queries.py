@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from declined.llm import (
     decontamination,
     license_scan,
     line_dedup,
+    packing,
     quality_rules,
     sharding,
     url_filter,
@@ -22,6 +25,8 @@ URL_RULES = [
     url_filter.UrlRule("org", "/fr/", "allow"),
 ]
 SHARDS = 40
+SEQUENCE_TOKENS = 2048
+END_OF_DOCUMENT = 0
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +39,23 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.document_licenses(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    """Pieces and places; of the ids, which stay out of every shuffle, the checksum."""
+    pieces = packing.token_pieces(docs, tokenizer_path(), SEQUENCE_TOKENS, END_OF_DOCUMENT)
+    pieces = pieces.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
+    )
+    return packing.pack(pieces, SEQUENCE_TOKENS)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"), report=True)
 
@@ -55,6 +77,7 @@ def queries() -> dict:
     return {
         "op1_url_filter": op1_url_filter,
         "op2_license_scan": op2_license_scan,
+        "op3_packing": op3_packing,
         "op4_line_dedup": op4_line_dedup,
         "op5_sharding": op5_sharding,
         "op6_decontamination": op6_decontamination,
