@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from declined.llm import (
     decontamination,
+    jaccard_join,
     license_scan,
     line_dedup,
     packing,
@@ -69,6 +70,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(table(spark, sf_dir, "documents"), items)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ def queries() -> dict:
         "op4_line_dedup": op4_line_dedup,
         "op5_sharding": op5_sharding,
         "op6_decontamination": op6_decontamination,
+        "op7_jaccard_join": op7_jaccard_join,
         "op9_quality_rules": op9_quality_rules,
     }
 
