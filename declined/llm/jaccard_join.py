@@ -27,6 +27,7 @@ from declined.llm.shingles import STEP, mixed, shingle_hashes, word_hashes
 # Links: LINK_OF * common >= LINK * union, and so sizes a <= b with LINK * b <= LINK_OF * a.
 LINK, LINK_OF = 75, 100
 SIGNATURES_HELD = 3_000_000  # by a task before it passes them on
+BLOCK = 2000  # members of a hub that are compared at a time
 
 
 # Where bands of sizes start; neighbours differ by a third, so that links stay in a band or cross
@@ -181,7 +182,8 @@ def _meetings(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sizes of common and union for pairs of texts."""
+    """For pairs of texts: sizes of both sets and of what they share, and which of the elements
+    of ``b``, in order, ``a`` has, as bits."""
     kept: dict[int, np.ndarray] = {}
 
     def set_of(node: int, text: str) -> np.ndarray:
@@ -192,14 +194,37 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return kept[node]
 
     for rows in batches:
-        both = []
+        found = []
         for a, b, x, y in zip(rows["a"], rows["b"], rows["text_a"], rows["text_b"], strict=True):
             one, two = set_of(a, x), set_of(b, y)
-            both.append(len(np.intersect1d(one, two, assume_unique=True)))
-        sizes = [len(kept_a) for kept_a in map(set_of, rows["a"], rows["text_a"])]
-        others = [len(kept_b) for kept_b in map(set_of, rows["b"], rows["text_b"])]
-        union = np.array(sizes) + np.array(others) - np.array(both)
-        yield pd.DataFrame({"a": rows["a"], "b": rows["b"], "common": both, "union": union})
+            at = np.minimum(np.searchsorted(one, two), len(one) - 1)
+            has = one[at] == two
+            found.append((a, b, len(one), len(two), int(has.sum()), np.packbits(has).tobytes()))
+        yield pd.DataFrame(found, columns=["a", "b", "size_a", "size_b", "common", "bits"])
+
+
+def _near_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of a stray and a member of one hub whose bits leave it possible that they link.
+
+    What both have of the hub is counted; of the rest they share no more than the smaller rest.
+    """
+    for rows in batches:
+        for row in rows.itertuples():
+            node, root = np.array([m["node"] for m in row.members]), np.array([m["root"] for m in row.members])
+            size = np.array([m["size"] for m in row.members])
+            bits = np.array([np.frombuffer(m["bits"], np.uint8) for m in row.members])
+            rest = size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+            a, b = [], []
+            for m in row.strays:
+                own = np.frombuffer(m["bits"], np.uint8)
+                own_rest = m["size"] - int(np.bitwise_count(own).sum())
+                both = np.bitwise_count(bits & own).sum(axis=1, dtype=np.int64)
+                both += np.minimum(rest, own_rest)
+                near = (LINK + LINK_OF) * both >= LINK * (size + m["size"])
+                found = node[near & (root != m["root"])]
+                a += [np.minimum(found, m["node"])]
+                b += [np.maximum(found, m["node"])]
+            yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
 
 def frequent_shingles(
@@ -274,9 +299,12 @@ def near_duplicates(docs: DataFrame, signatures_per_bucket: int = 2_000_000) ->
 
 def _linked(docs: DataFrame, rows: DataFrame, meetings: DataFrame) -> DataFrame:
     """``node`` and ``root`` of the nodes that links join, from who meets whom."""
-    met = written(meetings.select("meeting", F.explode("members").alias("node")), "met")
+    met = meetings.select("meeting", F.explode("members").alias("node"), F.size("members").alias("n"))
+    weight = met.groupBy("node").agg(F.sum("n").alias("weight"))
+    met = met.join(weight, "node")
+    met = written(met.select("meeting", "node", F.struct("weight", "node").alias("rank")), "met")
     involved = met.select("node").distinct()
-    # One text for each node: that of its first row, by id and hash.
+    # One text for each node: that of its first row, by hash and id.
     first = rows.join(involved, "node").groupBy("node").agg(
         F.min(F.struct("text_hash", "doc_id")).alias("first")
     )
@@ -290,31 +318,58 @@ def _linked(docs: DataFrame, rows: DataFrame, meetings: DataFrame) -> DataFrame:
         one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-        sizes = both.mapInPandas(_shared, "a LONG, b LONG, common LONG, union LONG")
-        alike = F.col("common") * LINK_OF >= F.col("union") * LINK
-        return written(sizes.select("a", "b", alike.alias("alike")), "compared")
-
-    stars = met.join(met.groupBy("meeting").agg(F.min("node").alias("a")), "meeting")
-    stars = stars.filter("node <> a").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a"))
-    done = compared(stars.select("a", "b"))
-    roots = components(done.filter("alike"))
-    for last in (False, True):
-        placed = met.join(roots, "node", "left").select(
-            "meeting", "node", F.coalesce("root", "node").alias("root")
+        shared = both.mapInPandas(
+            _shared, "a LONG, b LONG, size_a LONG, size_b LONG, common LONG, bits BINARY"
         )
-        several = placed.groupBy("meeting").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.struct("root", "node")).alias("top")
-        )
-        several = several.filter("low < high").select("meeting", "high", F.col("top.node").alias("top"))
-        open_met = written(placed.join(several, "meeting"), "open")
-        if last:
-            other = open_met.select("meeting", F.col("node").alias("b"), F.col("root").alias("root_b"))
-            pairs = open_met.join(other, "meeting").filter((F.col("root") < F.col("root_b")))
-            pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-        else:
-            pairs = open_met.filter("root < high").groupBy("node").agg(F.max("top").alias("top"))
-            pairs = pairs.select(F.least("node", "top").alias("a"), F.greatest("node", "top").alias("b"))
-        pairs = pairs.distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
-        done = written(done.unionByName(compared(pairs)), "done")
-        roots = components(done.filter("alike"))
-    return roots
+        union = F.col("size_a") + F.col("size_b") - F.col("common")
+        return shared.withColumn("alike", F.col("common") * LINK_OF >= union * LINK)
+
+    # 1. Each node with its hub: of the nodes it meets, the one that meets the most.  A node that
+    # meets no larger one is its own hub.
+    hubs = met.join(met.groupBy("meeting").agg(F.max("rank").alias("hub")), "meeting")
+    hubs = hubs.groupBy("node").agg(F.max("hub").alias("hub"))
+    hubs = hubs.select("node", F.col("hub.node").alias("hub"))
+    done = written(
+        compared(hubs.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))),
+        "compared",
+    )
+    roots = components(done.filter("alike"))
+
+    # 2. Nodes that are not linked with their hub, strays, with all others of that hub.
+    of_node = roots.select(F.col("node").alias("a"), "root")
+    of_hub = roots.select(F.col("node").alias("b"), F.col("root").alias("hub_root"))
+    members = done.join(of_node, "a", "left").join(of_hub, "b", "left").select(
+        F.col("b").alias("hub"),
+        F.struct(
+            F.col("a").alias("node"),
+            F.coalesce("root", "a").alias("root"),
+            F.col("size_a").alias("size"),
+            "bits",
+        ).alias("member"),
+        (F.coalesce("root", "a") != F.coalesce("hub_root", "b")).alias("stray"),
+    )
+    members = written(members, "members")
+    blocks = members.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), F.count_if("stray").alias("strays"))
+    blocks = blocks.filter("strays > 0").select("hub", "blocks")
+    dealt = members.join(blocks, "hub").withColumn("block", F.pmod(F.xxhash64("member.node"), F.col("blocks")))
+    whole = dealt.groupBy("hub", "block").agg(F.collect_list("member").alias("members"))
+    strays = dealt.filter("stray").groupBy("hub", "block").agg(F.collect_list("member").alias("strays"))
+    near = strays.select("hub", "strays").join(whole.select("hub", "members"), "hub")
+    near = near.repartition(F.xxhash64("hub", "strays", "members")).mapInPandas(_near_pairs, "a LONG, b LONG")
+
+    # 3. Nodes of different hubs and components that meet.
+    placed = met.join(roots, "node", "left").join(hubs, "node").select(
+        "meeting", "node", "hub", F.coalesce("root", "node").alias("root")
+    )
+    several = placed.groupBy("meeting").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.min("hub").alias("one"), F.max("hub").alias("other")
+    )
+    several = several.filter("low < high AND one < other").select("meeting")
+    placed = written(placed.join(several, "meeting"), "open")
+    other = placed.select("meeting", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("hub").alias("hub_b"))
+    across = placed.join(other, "meeting").filter("root < root_b AND hub <> hub_b")
+    across = across.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+    compared_already = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = near.unionByName(across).distinct().join(compared_already, ["a", "b"], "left_anti")
+    rest = written(compared(rest).filter("alike").select("a", "b"), "rest")
+    return components(rest.unionByName(done.filter("alike").select("a", "b")))
