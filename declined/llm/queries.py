@@ -11,6 +11,7 @@ from declined.llm import (
     jaccard_join,
     license_scan,
     line_dedup,
+    lm_scoring,
     packing,
     quality_rules,
     sharding,
@@ -78,6 +79,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, scored by a model of those of which the id's checksum says so."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    scores = lm_scoring.lm_scores(table(spark, sf_dir, "documents"), ~held_out)
+    return scores.withColumn("held_out", held_out)
+
+
 def queries() -> dict:
     return {
         "op1_url_filter": op1_url_filter,
@@ -88,6 +96,7 @@ def queries() -> dict:
         "op6_decontamination": op6_decontamination,
         "op7_jaccard_join": op7_jaccard_join,
         "op9_quality_rules": op9_quality_rules,
+        "op10_lm_scoring": op10_lm_scoring,
     }
 
 
