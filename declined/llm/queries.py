@@ -15,6 +15,7 @@ from declined.llm import (
     packing,
     quality_rules,
     sharding,
+    substring_dedup,
     url_filter,
 )
 from declined.llm.common import table
@@ -75,6 +76,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
@@ -95,6 +100,7 @@ def queries() -> dict:
         "op5_sharding": op5_sharding,
         "op6_decontamination": op6_decontamination,
         "op7_jaccard_join": op7_jaccard_join,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_lm_scoring": op10_lm_scoring,
     }
