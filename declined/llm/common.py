@@ -99,3 +99,15 @@ def numbered(
     return runs.select("row", F.explode(F.sequence("n", end)).alias("n")).select(
         "row.*", F.col("n").alias(name)
     )
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame, most_bytes: int) -> DataFrame:
+    """``node`` and ``text``, once for each ``node`` in ``wanted``, a table of distinct nodes.
+
+    ``docs`` have both columns.  Where the wanted nodes measure at most ``most_bytes`` they are
+    broadcast, and no other text is shuffled; beyond, the documents are joined on their node.
+    """
+    wanted = written(wanted, "wanted")
+    if wanted.count() * 100 <= most_bytes:
+        wanted = F.broadcast(wanted)
+    return docs.select("node", "text").join(wanted, "node").dropDuplicates(["node"])
