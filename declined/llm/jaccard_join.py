@@ -27,6 +27,7 @@ from declined.llm.shingles import STEP, mixed, shingle_hashes, word_hashes
 # Links: LINK_OF * common >= LINK * union, and so sizes a <= b with LINK * b <= LINK_OF * a.
 LINK, LINK_OF = 75, 100
 SIGNATURES_HELD = 3_000_000  # by a task before it passes them on
+BYTES_PER_NODE = 100  # of a broadcast hash table of nodes
 BLOCK = 2000  # members of a hub that are compared at a time
 
 
@@ -99,11 +100,31 @@ def signatures(
     return np.concatenate(found)
 
 
+def parity_bits(elements: np.ndarray) -> bytes:
+    """The sketch of a set in bits, of which there are four to eight for each element.
+
+    The number is a power of two, so that a longer sketch folds to the length of a shorter one.
+    """
+    n_bits = max(64, 1 << (4 * len(elements) - 1).bit_length())
+    places = (elements >> np.uint64(8)) & np.uint64(n_bits - 1)
+    odd = np.bincount(places.astype(np.int64), minlength=n_bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def folded(bits: np.ndarray, n_bytes: int) -> np.ndarray:
+    """Sketches, in rows, of ``n_bytes`` each: halves are put together by exclusive or."""
+    while bits.shape[-1] > n_bytes:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(text)))
 
 
-SKETCHED = "doc_id LONG, text_hash LONG, n_shingles LONG, node LONG, bucket INT, nodes BINARY, places BINARY, refs BINARY"
+SKETCHED = """doc_id LONG, text_hash LONG, n_shingles LONG, node LONG, bits BINARY,
+              bucket INT, nodes BINARY, places BINARY, refs BINARY"""
 
 
 def _sketched(
@@ -124,29 +145,31 @@ def _sketched(
             used, own = np.unique(ref[start:end], return_inverse=True)
             low = place[start:end].astype(np.uint32)
             rows.append((int(bucket[start]), node[used].tobytes(), low.tobytes(), own.astype(np.uint32).tobytes()))
-        return sketch_batch([], [], [], [], rows)
+        return sketch_batch([], [], [], [], [], rows)
 
-    def sketch_batch(ids, hashes, sizes, keys, rows) -> pa.RecordBatch:
+    def sketch_batch(ids, hashes, sizes, keys, bits, rows) -> pa.RecordBatch:
         n, m = len(ids), len(rows)
         own = lambda values, kind: pa.array([*values, *[None] * m], kind)
         of = lambda k, kind: pa.array([*[None] * n, *[r[k] for r in rows]], kind)
         return pa.RecordBatch.from_arrays(
-            [own(ids, pa.int64()), own(hashes, pa.int64()), own(sizes, pa.int64()), own(keys, pa.int64()),
+            [own(ids, pa.int64()), own(hashes, pa.int64()), own(sizes, pa.int64()), own(keys, pa.int64()), own(bits, pa.binary()),
              of(0, pa.int32()), of(1, pa.binary()), of(2, pa.binary()), of(3, pa.binary())],
-            ["doc_id", "text_hash", "n_shingles", "node", "bucket", "nodes", "places", "refs"],
+            ["doc_id", "text_hash", "n_shingles", "node", "bits", "bucket", "nodes", "places", "refs"],
         )
 
     for batch in batches:
         ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
-        sizes, keys = [], []
+        sizes, keys, bits = [], [], []
         for text in batch.column("text"):
             elements = shingle_set(text.as_py())
             sizes.append(len(elements))
             if not len(elements):
                 keys.append(None)
+                bits.append(None)
                 continue
             key = xxhash.xxh3_64_intdigest(elements.tobytes()) - (1 << 63)
             keys.append(key)
+            bits.append(parity_bits(elements))
             if key not in known:
                 known[key] = len(nodes)
                 nodes.append(key)
@@ -157,7 +180,7 @@ def _sketched(
                 yield passed_on()
                 known.clear()
                 nodes, places, refs, held = [], [], [], 0
-        yield sketch_batch(ids, hashes, sizes, keys, [])
+        yield sketch_batch(ids, hashes, sizes, keys, bits, [])
     if held:
         yield passed_on()
 
@@ -181,9 +204,46 @@ def _meetings(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"meeting": list(found), "members": [m.tolist() for m in found.values()]})
 
 
-def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For pairs of texts: sizes of both sets and of what they share, and which of the elements
-    of ``b``, in order, ``a`` has, as bits."""
+def _possible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of pairs with sizes and sketches those whose sketches are near enough for a link."""
+    for rows in batches:
+        near = []
+        for m, n, x, y in zip(rows["size_a"], rows["size_b"], rows["bits_a"], rows["bits_b"], strict=True):
+            one, two = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+            width = min(len(one), len(two))
+            apart = np.bitwise_count(folded(one, width) ^ folded(two, width)).sum(dtype=np.int64)
+            near.append(apart <= most_apart(m, n))
+        yield rows.loc[np.array(near, bool), ["a", "b"]]
+
+
+def _near_strays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of a stray and a member of one hub, of different components, that may link."""
+    for rows in batches:
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for row in rows.itertuples():
+            by_width: dict[int, list] = {}
+            for m in row.members:
+                by_width.setdefault(len(m["bits"]), []).append(m)
+            for stray in row.strays:
+                own = np.frombuffer(stray["bits"], np.uint8)
+                for n_bytes, members in by_width.items():
+                    if isinstance(members, list):
+                        members = by_width[n_bytes] = tuple(
+                            np.array([m[c] for m in members]) for c in ("node", "root", "size")
+                        ) + (np.array([np.frombuffer(m["bits"], np.uint8) for m in members]),)
+                    node, root, size, bits = members
+                    width = min(n_bytes, len(own))
+                    apart = folded(bits, width) ^ folded(own, width)
+                    apart = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
+                    most = (LINK_OF - LINK) * (size + stray["size"]) // (LINK_OF + LINK)
+                    found = node[(apart <= most) & (root != stray["root"])]
+                    a.append(np.minimum(found, stray["node"]))
+                    b.append(np.maximum(found, stray["node"]))
+        yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+
+def _linking(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of pairs with texts those that link."""
     kept: dict[int, np.ndarray] = {}
 
     def set_of(node: int, text: str) -> np.ndarray:
@@ -194,37 +254,12 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return kept[node]
 
     for rows in batches:
-        found = []
+        links = []
         for a, b, x, y in zip(rows["a"], rows["b"], rows["text_a"], rows["text_b"], strict=True):
             one, two = set_of(a, x), set_of(b, y)
-            at = np.minimum(np.searchsorted(one, two), len(one) - 1)
-            has = one[at] == two
-            found.append((a, b, len(one), len(two), int(has.sum()), np.packbits(has).tobytes()))
-        yield pd.DataFrame(found, columns=["a", "b", "size_a", "size_b", "common", "bits"])
-
-
-def _near_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of a stray and a member of one hub whose bits leave it possible that they link.
-
-    What both have of the hub is counted; of the rest they share no more than the smaller rest.
-    """
-    for rows in batches:
-        for row in rows.itertuples():
-            node, root = np.array([m["node"] for m in row.members]), np.array([m["root"] for m in row.members])
-            size = np.array([m["size"] for m in row.members])
-            bits = np.array([np.frombuffer(m["bits"], np.uint8) for m in row.members])
-            rest = size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-            a, b = [], []
-            for m in row.strays:
-                own = np.frombuffer(m["bits"], np.uint8)
-                own_rest = m["size"] - int(np.bitwise_count(own).sum())
-                both = np.bitwise_count(bits & own).sum(axis=1, dtype=np.int64)
-                both += np.minimum(rest, own_rest)
-                near = (LINK + LINK_OF) * both >= LINK * (size + m["size"])
-                found = node[near & (root != m["root"])]
-                a += [np.minimum(found, m["node"])]
-                b += [np.maximum(found, m["node"])]
-            yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+            both = len(np.intersect1d(one, two, assume_unique=True))
+            links.append(both * LINK_OF >= (len(one) + len(two) - both) * LINK)
+        yield rows.loc[np.array(links, bool), ["a", "b"]]
 
 
 def frequent_shingles(
@@ -252,21 +287,24 @@ def frequent_shingles(
     return common[order], counts[order]
 
 
-def near_duplicates(docs: DataFrame, signatures_per_bucket: int = 2_000_000) -> DataFrame:
-    """Per document row: ``doc_id``, ``n_shingles``, ``component_id``, ``text_hash``.
+def near_duplicates(
+    docs: DataFrame, signatures_per_bucket: int = 2_000_000, most_bytes: int = 32_000_000
+) -> DataFrame:
+    """Per document row: ``doc_id``, ``n_shingles``, ``component_id``, ``text_hash``, ``root``.
 
     A document's set holds its distinct shingles of five words; with fewer words, all of them
     are the one shingle; without words or text the set is empty and linked with nothing.  Two documents
     link where three quarters of the union of their sets are common.  ``component_id`` is
-    the smallest ``doc_id`` that links lead to.
+    the smallest ``doc_id`` that links lead to; ``root`` names the component, NULL for an empty set.
 
-    Documents with equal sets are one node.  Nodes that agree in a place of their sketches meet in
-    a bucket, whose number grows with the corpus; a meeting of the same nodes counts
-    once.  Every node is first compared with the first of the nodes it meets, which finds the
-    components of groups of copies in one comparison for each member; again with another
-    one, where a meeting still holds several components; and then with every member of
-    another component that is left, so that no link between components is lost.
-    Each comparison is exact, on whole texts.
+    Documents with equal sets are one node.  Nodes that agree in a place of their sketches meet
+    in a bucket; the number of buckets grows with the corpus, and a meeting of the same nodes
+    counts once.  Every node is first compared with its hub, of those it meets the one that meets
+    the most, which finds the components of groups of copies in one comparison for each member.
+    Nodes that are not linked with their hub are then compared with all others of that hub, in
+    blocks, and nodes of different hubs and components that meet with each other, so that no link between
+    components is lost.  A comparison looks at sketches of some bits for each
+    element first, which tell most texts that are not alike apart, and is then exact, on whole texts.
 
     NULL in other columns does not matter, extra columns are ignored, repeated rows come
     out repeated.  Documents without an id take part; ids are compared without them.
@@ -278,12 +316,14 @@ def near_duplicates(docs: DataFrame, signatures_per_bucket: int = 2_000_000) ->
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     sketched = written(sketched.mapInArrow(sketching, SKETCHED), "sketches")
-    rows = sketched.filter("bucket IS NULL").select("doc_id", "text_hash", "n_shingles", "node")
+    rows = sketched.filter("bucket IS NULL").select(
+        "doc_id", "text_hash", "n_shingles", "node", "bits"
+    )
 
     blobs = sketched.filter("bucket IS NOT NULL").select("bucket", "nodes", "places", "refs")
     meetings = blobs.groupBy("bucket").applyInPandas(_meetings, "meeting LONG, members ARRAY<LONG>")
     meetings = written(meetings.dropDuplicates(["meeting"]), "meetings")
-    roots = _linked(docs, rows, meetings)
+    roots = _linked(docs, rows, meetings, most_bytes)
 
     placed = rows.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
     placed = written(placed.select("doc_id", "text_hash", "n_shingles", F.coalesce("root", "node").alias("root")), "placed")
@@ -294,68 +334,105 @@ def near_duplicates(docs: DataFrame, signatures_per_bucket: int = 2_000_000) ->
         "n_shingles",
         F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
         "text_hash",
+        "root",
     )
 
 
-def _linked(docs: DataFrame, rows: DataFrame, meetings: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, most_bytes: int = 32_000_000) -> DataFrame:
+    """``docs`` with one document of each component: that with the smallest id, NULL last.
+
+    Documents without words stay.  All columns stay, extra ones too.  Of rows that agree in
+    the smallest id, the one with the smallest hash of its text stays, and of repeated rows
+    one.  What goes is known by id and text; it is broadcast where it measures at most
+    ``most_bytes``, so that no text is shuffled, and joined beyond.
+    """
+    found = written(near_duplicates(docs).filter("root IS NOT NULL"), "found")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    firsts = written(found.groupBy("root").agg(F.min(rank).alias("first")), "firsts")
+    rows = found.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    ranked = rows.join(firsts, "root").withColumn("stays", rank == F.col("first"))
+    keys = [F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")]
+    gone = written(ranked.filter(~F.col("stays")).select(*keys).distinct(), "gone")
+    several = written(ranked.filter("stays AND copies > 1").select(*keys), "several")
+
+    def by_size(keyed: DataFrame) -> DataFrame:
+        return F.broadcast(keyed) if keyed.count() * BYTES_PER_NODE <= most_bytes else keyed
+
+    on = F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash"))
+    left = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("own_hash"))
+    left = left.join(by_size(gone), on, "left_anti")
+    if several.isEmpty():
+        return left.select("row.*")
+    several = by_size(several)
+    once = left.join(several, on, "left_semi").withColumn("own_id", F.col("row.doc_id"))
+    once = once.dropDuplicates(["own_id", "own_hash"]).drop("own_id")
+    return left.join(several, on, "left_anti").unionByName(once).select("row.*")
+
+
+def _linked(docs: DataFrame, rows: DataFrame, meetings: DataFrame, most_bytes: int) -> DataFrame:
     """``node`` and ``root`` of the nodes that links join, from who meets whom."""
     met = meetings.select("meeting", F.explode("members").alias("node"), F.size("members").alias("n"))
     weight = met.groupBy("node").agg(F.sum("n").alias("weight"))
     met = met.join(weight, "node")
     met = written(met.select("meeting", "node", F.struct("weight", "node").alias("rank")), "met")
-    involved = met.select("node").distinct()
-    # One text for each node: that of its first row, by hash and id.
-    first = rows.join(involved, "node").groupBy("node").agg(
-        F.min(F.struct("text_hash", "doc_id")).alias("first")
+    # One row for each node, with the text of its first document by hash and id.
+    nodes = rows.groupBy("node").agg(
+        F.min(F.struct("text_hash", "doc_id")).alias("first"),
+        F.min(F.struct("n_shingles", "bits")).alias("set"),
     )
-    first = first.select("node", F.col("first.text_hash").alias("hash"), F.col("first.doc_id").alias("id"))
+    nodes = nodes.join(met.select("node").distinct(), "node").select(
+        "node",
+        F.col("set.n_shingles").alias("size"),
+        F.col("set.bits").alias("bits"),
+        F.col("first.text_hash").alias("hash"),
+        F.col("first.doc_id").alias("id"),
+    )
+    nodes = written(nodes, "nodes")
+    wanted = nodes.select("node", "hash", "id")
+    if wanted.count() * BYTES_PER_NODE <= most_bytes:
+        wanted = F.broadcast(wanted)  # else the documents are shuffled as well
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(
-        first, (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))
+        wanted, (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))
     )
     texts = written(texts.dropDuplicates(["node"]).select("node", "text"), "texts")
 
-    def compared(pairs: DataFrame) -> DataFrame:
-        one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-        shared = both.mapInPandas(
-            _shared, "a LONG, b LONG, size_a LONG, size_b LONG, common LONG, bits BINARY"
-        )
-        union = F.col("size_a") + F.col("size_b") - F.col("common")
-        return shared.withColumn("alike", F.col("common") * LINK_OF >= union * LINK)
-
-    # 1. Each node with its hub: of the nodes it meets, the one that meets the most.  A node that
-    # meets no larger one is its own hub.
+    def side(table: DataFrame, name: str, *columns: str) -> DataFrame:
+        return table.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+
+    def links(pairs: DataFrame) -> DataFrame:
+        sketched = pairs.join(side(nodes, "a", "size", "bits"), "a").join(side(nodes, "b", "size", "bits"), "b")
+        possible = sketched.mapInPandas(_possible, "a LONG, b LONG")
+        both = possible.join(side(texts, "a", "text"), "a").join(side(texts, "b", "text"), "b")
+        return written(both.mapInPandas(_linking, "a LONG, b LONG"), "links")
+
+    # 1. Each node with its hub.  A node that meets no larger one is its own hub.
     hubs = met.join(met.groupBy("meeting").agg(F.max("rank").alias("hub")), "meeting")
     hubs = hubs.groupBy("node").agg(F.max("hub").alias("hub"))
-    hubs = hubs.select("node", F.col("hub.node").alias("hub"))
-    done = written(
-        compared(hubs.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))),
-        "compared",
-    )
-    roots = components(done.filter("alike"))
+    hubs = written(hubs.select("node", F.col("hub.node").alias("hub")), "hubs")
+    to_hubs = hubs.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    done = links(to_hubs)
+    roots = components(done)
 
     # 2. Nodes that are not linked with their hub, strays, with all others of that hub.
-    of_node = roots.select(F.col("node").alias("a"), "root")
-    of_hub = roots.select(F.col("node").alias("b"), F.col("root").alias("hub_root"))
-    members = done.join(of_node, "a", "left").join(of_hub, "b", "left").select(
-        F.col("b").alias("hub"),
-        F.struct(
-            F.col("a").alias("node"),
-            F.coalesce("root", "a").alias("root"),
-            F.col("size_a").alias("size"),
-            "bits",
-        ).alias("member"),
-        (F.coalesce("root", "a") != F.coalesce("hub_root", "b")).alias("stray"),
+    of_hub = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+    members = hubs.filter("node <> hub").join(nodes, "node").join(roots, "node", "left").join(of_hub, "hub", "left")
+    members = members.select(
+        "hub",
+        F.struct("node", F.coalesce("root", "node").alias("root"), "size", "bits").alias("member"),
+        (F.coalesce("root", "node") != F.coalesce("hub_root", "hub")).alias("stray"),
     )
     members = written(members, "members")
-    blocks = members.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), F.count_if("stray").alias("strays"))
-    blocks = blocks.filter("strays > 0").select("hub", "blocks")
-    dealt = members.join(blocks, "hub").withColumn("block", F.pmod(F.xxhash64("member.node"), F.col("blocks")))
+    sizes = members.groupBy("hub").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), F.count_if("stray").alias("strays")
+    )
+    sizes = sizes.filter("strays > 0").select("hub", "blocks")
+    dealt = members.join(sizes, "hub").withColumn(
+        "block", F.pmod(F.xxhash64("member.node"), F.col("blocks"))
+    )
     whole = dealt.groupBy("hub", "block").agg(F.collect_list("member").alias("members"))
     strays = dealt.filter("stray").groupBy("hub", "block").agg(F.collect_list("member").alias("strays"))
     near = strays.select("hub", "strays").join(whole.select("hub", "members"), "hub")
-    near = near.repartition(F.xxhash64("hub", "strays", "members")).mapInPandas(_near_pairs, "a LONG, b LONG")
+    near = near.mapInPandas(_near_strays, "a LONG, b LONG")
 
     # 3. Nodes of different hubs and components that meet.
     placed = met.join(roots, "node", "left").join(hubs, "node").select(
@@ -369,7 +446,6 @@ def _linked(docs: DataFrame, rows: DataFrame, meetings: DataFrame) -> DataFrame:
     other = placed.select("meeting", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("hub").alias("hub_b"))
     across = placed.join(other, "meeting").filter("root < root_b AND hub <> hub_b")
     across = across.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-    compared_already = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = near.unionByName(across).distinct().join(compared_already, ["a", "b"], "left_anti")
-    rest = written(compared(rest).filter("alike").select("a", "b"), "rest")
-    return components(rest.unionByName(done.filter("alike").select("a", "b")))
+    asked = to_hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = near.unionByName(across).distinct().join(asked, ["a", "b"], "left_anti")
+    return components(links(rest).unionByName(done))
