@@ -19,6 +19,7 @@ from declined.llm import (
     url_filter,
 )
 from declined.llm.common import table
+from declined.llm.sql import oracle_sql
 
 # The rules, in the order given.
 URL_RULES = [
@@ -73,7 +74,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash", "root")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,5 +107,4 @@ def queries() -> dict:
     }
 
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+__all__ = ["oracle_sql", "queries"]
