@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The white space that separates words, and the letters that are lower-cased.
@@ -29,9 +29,9 @@ def blank_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANK), "")
 
 
-def at_least_zero_up_to(n: Column) -> Column:
-    """The array 0 .. n - 1, empty for n = 0."""
-    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+def with_words(docs: DataFrame) -> DataFrame:
+    """The documents whose text has a word."""
+    return docs.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -57,48 +57,52 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def numbered(
-    df: DataFrame, group: str, order: list[str], name: str, rows_per_bucket: int = 100_000
+    df: DataFrame, group: str, order: list[str], name: str, rows_per_bucket: int = 2000
 ) -> DataFrame:
     """``df`` with a number from 0, without gaps, to each row of each ``group``.
 
     A window over ``group`` alone would give a whole group to one task.  So equal rows
-    are first counted, then each group is cut into buckets by a hash of the row; the
-    bucket's first number is the sum of the buckets before it, and only rows of one bucket
-    meet in a task.  The numbers depend on the rows' values alone, so a repeated task gives
-    the same ones.  Equal rows get numbers next to each other; they are drawn out of one
-    counted row in runs of ``rows_per_bucket``, which are dealt out before.
+    are first counted, then each group is cut into as many buckets as it has
+    ``rows_per_bucket`` rows, by a hash of the row; a bucket's first number is the sum of the
+    buckets before it, and only rows of one bucket meet in a task.  The numbers depend on
+    the rows' values alone, so a repeated task gives the same ones.  Equal rows get numbers
+    next to each other; they are drawn out of one counted row in runs of
+    ``rows_per_bucket``, which are dealt out before.
+
+    There should be few groups, of any size: beyond 100,000 their sizes are not broadcast.
     """
-    columns = df.columns
-    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     counted = df.groupBy(row.alias("row")).agg(F.count(F.lit(1)).alias("copies"))
+    counted = counted.withColumn("group", F.col("row").getField(group))
     counted = written(counted, "numbered")
-    buckets = max(1, counted.count() // rows_per_bucket)
-    group_of = F.col("row").getField(group)
-    counted = counted.select(
-        "row", "copies", group_of.alias("group"), F.pmod(F.xxhash64("row"), F.lit(buckets)).alias("b")
+    groups = counted.groupBy("group").agg(F.sum("copies").alias("rows"))
+    groups = written(
+        groups.select(
+            F.col("group").alias("of"), F.ceil(F.col("rows") / rows_per_bucket).alias("buckets")
+        ),
+        "groups",
     )
-    from pyspark.sql import Window
-
-    sizes = counted.groupBy("group", "b").agg(F.sum("copies").alias("n"))
+    if groups.count() <= 100_000:
+        groups = F.broadcast(groups)
+    dealt = counted.join(groups, F.col("group").eqNullSafe(F.col("of"))).select(
+        "row", "copies", "group", F.pmod(F.xxhash64("row"), F.col("buckets")).alias("b")
+    )
+    sizes = dealt.groupBy("group", "b").agg(F.sum("copies").alias("n"))
     before = F.sum("n").over(Window.partitionBy("group").orderBy("b")) - F.col("n")
     sizes = sizes.select(F.col("group").alias("g"), F.col("b").alias("gb"), before.alias("first"))
     within = Window.partitionBy("group", "b").orderBy(
         *[F.col("row").getField(c) for c in order], F.xxhash64("row"), F.col("row").cast("string")
     )
-    placed = counted.withColumn("upto", F.sum("copies").over(within) - F.col("copies")).join(
-        sizes, (F.col("group").eqNullSafe(F.col("g"))) & (F.col("b") == F.col("gb"))
+    placed = dealt.withColumn("upto", F.sum("copies").over(within) - F.col("copies")).join(
+        sizes, F.col("group").eqNullSafe(F.col("g")) & (F.col("b") == F.col("gb"))
     )
-    first = F.col("first") + F.col("upto")
+    first, last = F.col("first") + F.col("upto"), F.col("first") + F.col("upto") + F.col("copies") - 1
     runs = placed.select(
-        "row",
-        F.explode(F.sequence(first, first + F.col("copies") - 1, F.lit(rows_per_bucket))).alias("n"),
-        (first + F.col("copies") - 1).alias("last"),
+        "row", F.explode(F.sequence(first, last, F.lit(rows_per_bucket))).alias("n"), last.alias("last")
     )
-    runs = runs.hint("rebalance")
     end = F.least(F.col("last"), F.col("n") + F.lit(rows_per_bucket - 1))
-    return runs.select("row", F.explode(F.sequence("n", end)).alias("n")).select(
-        "row.*", F.col("n").alias(name)
-    )
+    rows = runs.hint("rebalance").select("row", F.explode(F.sequence("n", end)).alias("n"))
+    return rows.select("row.*", F.col("n").alias(name))
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame, most_bytes: int) -> DataFrame:

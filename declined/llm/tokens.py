@@ -10,6 +10,20 @@ from functools import cache
 NEXT_TO_EACH_OTHER = re.compile(r"\s\s")
 BEFORE_BLANK = re.compile(r"(?<=\S)(?= )")
 
+# Letters that any version of Unicode has, and marks, without the apostrophe, which
+# may start a token of letters.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+SPECIAL = re.compile(r"<\|.*\|>")
+
+
+def byte_letters() -> dict[int, int]:
+    """The characters that stand for bytes in a byte-level vocabulary: a byte that prints in
+    Latin-1 for itself, the others, in order, from 256 on."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: 256 + i for i, b in enumerate(others)}
+
 
 class _Encoded(dict):
     """Ids by string, as little-endian unsigned 32-bit bytes.
@@ -18,9 +32,11 @@ class _Encoded(dict):
     that were not looked up in between are forgotten.
     """
 
-    def __init__(self, encode, before: str, most: int):
+    def __init__(self, tokenizer, before: str, most: int, marks: _Encoded | None = None):
         super().__init__()
-        self.encode, self.before, self.most, self.older = encode, before, most, {}
+        self.encode, self.model, self.letters = tokenizer.encode, tokenizer.model, byte_letters()
+        self.before, self.most, self.older = before, most, {}
+        self.marks = self if marks is None else marks
 
     def __missing__(self, part: str) -> bytes:
         if len(self) >= self.most:
@@ -28,7 +44,15 @@ class _Encoded(dict):
             self.clear()
         found = self.older.get(part)
         if found is None:
-            ids = self.encode(self.before + part, add_special_tokens=False).ids
+            word = part.rstrip(MARKS)
+            if LETTERS.fullmatch(word) and not SPECIAL.search(part):
+                if word != part:  # a letter and a mark never share a token
+                    return self[word] + self.marks[part[len(word) :]]
+                # Letters, with a blank before them or not, are one piece for the model.
+                piece = (self.before + word).encode().decode("latin-1").translate(self.letters)
+                ids = [token.id for token in self.model.tokenize(piece)]
+            else:
+                ids = self.encode(self.before + part, add_special_tokens=False).ids
             found = array("I", ids).tobytes()
         self[part] = found
         return found
@@ -44,12 +68,12 @@ class ByteBpe:
     finds the parts.  The result is that of encoding the whole text.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
-        encode = Tokenizer.from_file(path).encode
-        self.first = _Encoded(encode, "", most // 8)
-        self.after_blank = _Encoded(encode, " ", most)
+        tokenizer = Tokenizer.from_file(path)
+        self.first = _Encoded(tokenizer, "", most // 8)
+        self.after_blank = _Encoded(tokenizer, " ", most, self.first)
 
     def ids(self, text: str | None) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers; none for None."""
