@@ -88,9 +88,11 @@ def canonical_license(text: Column) -> Column:
 
 
 def license_digest(text: Column) -> Column:
-    """SHA-256 of the canonical text; NULL for NULL and for a text without letters or digits."""
-    canonical = canonical_license(text)
-    return F.when(canonical != "", F.sha2(canonical, 256))
+    """SHA-256 of the canonical text; empty for NULL.
+
+    It is never NULL, so that no join has to compute it twice to filter on it.
+    """
+    return F.coalesce(F.sha2(canonical_license(text), 256), F.lit(""))
 
 
 def known_digests(docs: DataFrame, known: Mapping[str, list[str]] | None = None) -> DataFrame:
@@ -98,6 +100,7 @@ def known_digests(docs: DataFrame, known: Mapping[str, list[str]] | None = None)
     known = KNOWN_LICENSES if known is None else known
     rows = [(name, text) for name, texts in known.items() for text in texts]
     listed = docs.sparkSession.createDataFrame(rows, "license STRING, notice STRING")
+    listed = listed.filter(canonical_license(F.col("notice")) != "")
     digests = listed.select("license", license_digest(F.col("notice")).alias("known_digest"))
     return digests.groupBy("known_digest").agg(F.min("license").alias("license"))
 
@@ -108,8 +111,8 @@ def license_scan(
     """``units`` with ``digest`` and ``license``: the notice that a unit's entire text is, or NULL.
 
     The known notices are a parameter, a few hundred rows at most, and are broadcast; no
-    unit is shuffled.  NULL and empty texts have no digest and no licence.  Repeated units
-    come out repeated.  A column of ``units`` named ``digest`` or ``license`` is replaced.
+    unit is shuffled.  A NULL text has an empty digest, texts without letters or digits share
+    one, and none of them has a licence.  Repeated units come out repeated.  A column of ``units`` named ``digest`` or ``license`` is replaced.
     """
     digests = known_digests(units, known)
     kept = [F.col(f"`{c}`") for c in units.columns if c not in ("digest", "license")]
