@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from declined.llm.common import lower_ascii
+from declined.llm.common import lower_ascii, written
 
 # What separates words, before and after A-Z are lower-cased.
 APART_LOWER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -42,10 +42,11 @@ def document_hits(
     ``n_words``, ``spans`` (array of ``at``, ``k``: a window of ``k`` words at word ``at``,
     from 0) and ``items`` (the ids of items with an occurring window).
 
-    Every word of every text starts a window.  The windows are probed in one pass against
-    a hash table of the items' windows, and a hit is verified on its words.  That table is
-    broadcast if its measured size is at most ``most_bytes``; beyond, Spark chooses the join
-    by its own estimates.  Only hits and one row per document are shuffled.
+    Every word of every text starts a window.  The windows' hashes are probed in one pass
+    against a hash table of the items' windows; that table is broadcast if its measured size
+    is at most ``most_bytes``; beyond, Spark chooses the join by its own estimates.  Only
+    possible hits and one row per document are shuffled.  The few documents with possible hits are
+    read again to verify these on their words.
 
     A NULL or empty text has no words; without items, or with an empty table, nothing is
     hit.  Columns other than ``doc_id`` and ``text`` are ignored.
@@ -55,7 +56,6 @@ def document_hits(
         F.collect_set("k").alias("lengths"),
         F.sum(F.octet_length(F.array_join("gram", " ")) + 200).alias("bytes"),
     ).first()
-    lengths = sorted(facts["lengths"]) or [width]
     if (facts["bytes"] or 0) <= most_bytes:
         grams = F.broadcast(grams)
     grams = grams.withColumnRenamed("k", "gram_k")
@@ -63,30 +63,64 @@ def document_hits(
     words = docs.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), normal_words(F.col("text")).alias("w")
     )
-    words = words.withColumn("h", F.transform("w", lambda w: F.xxhash64(w)))
-    # One row per word, and one with place -1 that stands for the document itself.
-    starts = words.select("*", F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("at"))
-
-    def window(k: int) -> Column:
-        inside = (F.col("at") >= 0) & (F.col("at") + k <= F.size("w"))
-        return F.when(inside, F.xxhash64(F.slice("h", F.col("at") + 1, k)))
-
-    if len(lengths) == 1:
-        starts = starts.select("*", F.lit(lengths[0]).alias("k"), window(lengths[0]).alias("hash"))
-    else:
-        each = F.array(*[F.struct(F.lit(k).alias("k"), window(k).alias("hash")) for k in lengths])
-        starts = starts.select("*", F.inline(each))
-    document = (F.col("at") < 0) & (F.col("k") == lengths[0])
-    same = F.slice("w", F.col("at") + 1, F.col("k")) == F.col("gram")
+    hashed = words.select(
+        "doc_id", "text_hash", F.size("w").alias("n"), F.transform("w", lambda w: F.xxhash64(w)).alias("h")
+    )
+
+    def windows(k: int) -> Column:
+        starts = F.when(F.col("n") >= k, F.sequence(F.lit(1), F.col("n") - k + 1))
+        hashes = F.transform(
+            F.coalesce(starts, F.array().cast("array<int>")),
+            lambda i: F.struct(
+                (i - 1).alias("at"), F.lit(k).alias("k"), F.xxhash64(F.slice("h", i, k)).alias("hash")
+            ),
+        )
+        return hashes
+
+    # One row per window, and one with place -1 that stands for the document itself.
+    document = F.array(
+        F.struct(F.lit(-1).alias("at"), F.lit(0).alias("k"), F.lit(None).cast("long").alias("hash"))
+    )
+    each = F.concat(document, *[windows(k) for k in sorted(facts["lengths"])])
+    starts = hashed.select("doc_id", "text_hash", "n", F.inline(each))
+    is_document, is_hit = F.col("at") < 0, F.col("gram").isNotNull()
     probed = starts.join(
         grams, (F.col("hash") == F.col("gram_hash")) & (F.col("k") == F.col("gram_k")), "left"
-    ).filter(document | same)
-    hit = F.col("at") >= 0
-    return probed.groupBy("doc_id", "text_hash").agg(
-        F.max(F.size("w")).cast("long").alias("n_words"),
-        F.count_if(document).alias("copies"),
-        F.collect_set(F.when(hit, F.struct("at", "k"))).alias("spans"),
-        F.collect_set(F.when(hit, F.col("item"))).alias("items"),
+    ).filter(is_document | is_hit)
+    possible = probed.groupBy("doc_id", "text_hash").agg(
+        F.max("n").cast("long").alias("n_words"),
+        F.count_if(is_document).alias("copies"),
+        F.collect_set(F.when(is_hit, F.struct("at", "k", "gram", "item"))).alias("found"),
+    )
+    possible = written(possible, "possible")
+
+    suspects = possible.filter(F.size("found") > 0)
+    suspects = suspects.select(
+        F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "n_words", "copies", "found"
+    )
+    on = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+    keys = suspects.select("id", "hash")
+    if keys.count() * 100 <= most_bytes:
+        keys = F.broadcast(keys)  # then no text but theirs is shuffled
+    true = F.filter("found", lambda f: F.slice("w", f["at"] + 1, f["k"]) == f["gram"])
+    verified = words.join(keys, on, "left_semi").join(suspects, on).select(
+        "doc_id", "text_hash", "n_words", "copies", true.alias("found")
+    )
+    verified = verified.dropDuplicates(["doc_id", "text_hash"])
+    item_of = F.transform("found", lambda f: f["item"])
+    return (
+        possible.filter(F.size("found") == 0)
+        .unionByName(verified)
+        .select(
+            "doc_id",
+            "text_hash",
+            "copies",
+            "n_words",
+            F.array_distinct(
+                F.transform("found", lambda f: F.struct(f["at"].alias("at"), f["k"].alias("k")))
+            ).alias("spans"),
+            F.array_distinct(F.filter(item_of, lambda i: i.isNotNull())).alias("items"),
+        )
     )
 
 
@@ -139,7 +173,7 @@ def decontaminated(
     """The documents less those that are contaminated, or less the words that are hit.
 
     ``remove`` is ``documents`` or ``spans``; spans leave every document, its text cut and,
-    where there is such a column, ``n_chars`` counted anew.  All columns stay, extra ones
+    where there is such a column, ``n_chars`` counted anew where something went.  All columns stay, extra ones
     too.  A document is matched by its id and text, NULLs included, so that repeated rows
     share a verdict.  The contaminated documents, a small share, are what is joined.
     """
@@ -159,5 +193,6 @@ def decontaminated(
     cut_rows = rows.join(hits, on, "left").withColumn("row", F.col("row").withField("text", cut))
     if "n_chars" in docs.columns:
         n_chars = F.length("row.text").cast(docs.schema["n_chars"].dataType)
+        n_chars = F.when(F.col("hit_hash").isNull(), F.col("row.n_chars")).otherwise(n_chars)
         cut_rows = cut_rows.withColumn("row", F.col("row").withField("n_chars", n_chars))
     return cut_rows.select("row.*")
