@@ -71,38 +71,32 @@ def numbered(
 
     There should be few groups, of any size: beyond 100,000 their sizes are not broadcast.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    counted = df.groupBy(row.alias("row")).agg(F.count(F.lit(1)).alias("copies"))
-    counted = counted.withColumn("group", F.col("row").getField(group))
+    flat = [f"c{i}" for i in range(len(df.columns))]
+    of = dict(zip(df.columns, flat, strict=True))
+    counted = df.toDF(*flat).groupBy(*flat).agg(F.count(F.lit(1)).alias("copies"))
     counted = written(counted, "numbered")
-    groups = counted.groupBy("group").agg(F.sum("copies").alias("rows"))
-    groups = written(
-        groups.select(
-            F.col("group").alias("of"), F.ceil(F.col("rows") / rows_per_bucket).alias("buckets")
-        ),
-        "groups",
-    )
+    groups = counted.groupBy(F.col(of[group]).alias("of")).agg(F.sum("copies").alias("rows"))
+    groups = groups.select("of", F.ceil(F.col("rows") / rows_per_bucket).alias("buckets"))
+    groups = written(groups, "groups")
     if groups.count() <= 100_000:
         groups = F.broadcast(groups)
-    dealt = counted.join(groups, F.col("group").eqNullSafe(F.col("of"))).select(
-        "row", "copies", "group", F.pmod(F.xxhash64("row"), F.col("buckets")).alias("b")
-    )
-    sizes = dealt.groupBy("group", "b").agg(F.sum("copies").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("group").orderBy("b")) - F.col("n")
-    sizes = sizes.select(F.col("group").alias("g"), F.col("b").alias("gb"), before.alias("first"))
-    within = Window.partitionBy("group", "b").orderBy(
-        *[F.col("row").getField(c) for c in order], F.xxhash64("row"), F.col("row").cast("string")
-    )
+    dealt = counted.join(groups, F.col(of[group]).eqNullSafe(F.col("of")))
+    dealt = dealt.withColumn("b", F.pmod(F.xxhash64(*flat), F.col("buckets"))).drop("buckets")
+    sizes = dealt.groupBy("of", "b").agg(F.sum("copies").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("of").orderBy("b")) - F.col("n")
+    sizes = sizes.select(F.col("of").alias("g"), F.col("b").alias("gb"), before.alias("first"))
+    within = Window.partitionBy("of", "b").orderBy(*[of[c] for c in order], F.xxhash64(*flat), *flat)
     placed = dealt.withColumn("upto", F.sum("copies").over(within) - F.col("copies")).join(
-        sizes, F.col("group").eqNullSafe(F.col("g")) & (F.col("b") == F.col("gb"))
+        sizes, F.col("of").eqNullSafe(F.col("g")) & (F.col("b") == F.col("gb"))
     )
-    first, last = F.col("first") + F.col("upto"), F.col("first") + F.col("upto") + F.col("copies") - 1
+    first = F.col("first") + F.col("upto")
+    placed = placed.select(*flat, first.alias("n"), (first + F.col("copies") - 1).alias("last"))
     runs = placed.select(
-        "row", F.explode(F.sequence(first, last, F.lit(rows_per_bucket))).alias("n"), last.alias("last")
+        *flat, "last", F.explode(F.sequence("n", "last", F.lit(rows_per_bucket))).alias("n")
     )
     end = F.least(F.col("last"), F.col("n") + F.lit(rows_per_bucket - 1))
-    rows = runs.hint("rebalance").select("row", F.explode(F.sequence("n", end)).alias("n"))
-    return rows.select("row.*", F.col("n").alias(name))
+    rows = runs.hint("rebalance").select(*flat, F.explode(F.sequence("n", end)).alias("n"))
+    return rows.select(*[F.col(c).alias(name) for name, c in of.items()], F.col("n").alias(name))
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame, most_bytes: int) -> DataFrame:
