@@ -1,48 +1,64 @@
 from __future__ import annotations
 
-from collections.abc import Collection
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from declined import schemas
 from declined.operators.projections import lift_field
 
+COPIES = "copies"
+RUN = 10_000
 
-def match_payments(
-    orders: DataFrame,
-    payments: DataFrame,
-    key: str = schemas.KEY,
-    hot: Collection[str] = (),
-    slices: int | None = None,
-) -> DataFrame:
-    """Every pair of an order and one of its payments, as the seven match columns.
 
-    Inner equi-join with bag semantics: an order appears once per payment, orders
-    without one and NULL keys vanish.  ``orders`` must already carry its total.
+def count_matches(orders: DataFrame, payments: DataFrame, key: str = schemas.KEY) -> DataFrame:
+    """The distinct pairs of an order and one of its payments, and how many there are of each.
 
-    No strategy is forced.  Spark broadcasts a side whose estimated size is below
-    ``autoBroadcastJoinThreshold``; otherwise both sides are hashed on the key.  For a
-    side read straight from files the estimate is their bytes, compressed ones times
-    ``spark.sql.sources.fileCompressionFactor``, which gzip text needs raised.
+    The seven match columns and ``copies``.  Inner equi-join with bag semantics: an order
+    appears with each of its payments, orders without one and NULL keys vanish.
+    ``orders`` must already carry its total.
 
-    The payments of a key named in ``hot`` (see ``hot_keys``) are spread over ``slices``
-    tasks, by default as many as there are shuffle partitions, and its order is copied to
-    each.  Adaptive execution splits by compressed bytes, which a hot key's equal rows
-    understate, and not at all under an aggregate on the key.  The slice is a function of
-    the task, not random, so that a task that is run again after the loss of an executor
-    sends every row to the same place.
+    Each side first counts its rows that agree in all columns in use, as a partial
+    aggregate, so equal payments of one order, however many, cross the network as one row
+    per task.  What is left of a hot order differs, so its bytes show, and adaptive
+    execution splits it: the exchange on the key lies right below the join.  No sample is
+    taken and no size decides; the plan is the same for every input.
     """
     left = orders.select(key, "uf", "valor_total_pedido", "data_criacao_pedido")
     right = lift_field(payments).select(key, "forma_pagamento", schemas.STATUS, "fraude")
-    on = [key]
-    if hot:
-        on = [key, "slice"]
-        slices = slices or int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        is_hot = F.col(key).isin(*hot)
-        all_slices = F.sequence(F.lit(0), F.lit(slices - 1))
-        one_slice = F.array(F.lit(0))
-        left = left.withColumn("slice", F.explode(F.when(is_hot, all_slices).otherwise(one_slice)))
-        by_task = F.spark_partition_id() % slices
-        right = right.withColumn("slice", F.when(is_hot, by_task).otherwise(0))
-    return left.join(right, on, "inner").select(key, *schemas.MATCH_COLUMNS[1:])
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        known = df.filter(F.col(key).isNotNull())
+        return known.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(name))
+
+    pairs = counted(left, "of_orders").join(counted(right, "of_payments"), key)
+    copies = F.col("of_orders") * F.col("of_payments")
+    return pairs.select(key, *schemas.MATCH_COLUMNS[1:], copies.alias(COPIES))
+
+
+def expand_copies(
+    df: DataFrame, copies: str = COPIES, number: str | None = None, run: int = RUN
+) -> DataFrame:
+    """Each row as often as its ``copies`` say, without that column.
+
+    The count is cut into runs of ``run`` rows, the runs are dealt out evenly, and only then
+    expanded, so that no task gets more of one row than another.  ``number`` names a column for the
+    copy's number, from 1.  Dealing is by round robin in the order of the rows' values, so a
+    repeated task deals alike; it is to a fixed number of partitions, since adaptive execution
+    would merge them by bytes, which runs understate.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = [c for c in df.columns if c != copies]
+    starts = F.sequence(F.lit(1).cast("long"), F.col(copies), F.lit(run).cast("long"))
+    runs = df.select(*kept, copies, F.explode(starts).alias("first of run"))
+    last = F.least(F.col(copies), F.col("`first of run`") + (run - 1))
+    each = F.explode(F.sequence(F.col("`first of run`"), last)).alias(number or "number of copy")
+    expanded = runs.repartition(parts).select(*kept, each)
+    return expanded if number else expanded.select(*kept)
+
+
+def match_payments(orders: DataFrame, payments: DataFrame, key: str = schemas.KEY) -> DataFrame:
+    """Every pair of an order and one of its payments, as the seven match columns.
+
+    The rows of ``count_matches``, each as often as it occurs.  No join strategy is forced.
+    """
+    return expand_copies(count_matches(orders, payments, key))

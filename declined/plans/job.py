@@ -5,19 +5,19 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from declined import schemas
 from declined.operators import (
-    hot_keys,
     match_payments,
     orders_of_year,
     refused_payments,
+    row_counts,
     with_order_total,
 )
 from declined.plans.report import audit_report
 from declined.sources import (
+    new_parquet,
     read_orders,
     read_payments,
     replace_parquet,
@@ -30,7 +30,10 @@ logger = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class AuditOutcome:
+    """How many rows the report has, where it is, and which inputs held nothing."""
+
     report_rows: int
+    path: str
     empty_inputs: tuple[str, ...] = ()
 
 
@@ -47,11 +50,14 @@ def write_audit(
     year: int = 2025,
     timestamp: str = "timestamp",
     show_previews: bool = False,
+    new_folder: bool = False,
 ) -> AuditOutcome:
     """Writes the report on the given frames to ``output_path``, replacing an older one.
 
-    One plan and one write, which also counts the rows.  Only if there are none are the
-    inputs looked at, to tell an empty input from one with nothing to report.
+    With ``new_folder`` it goes to a new folder below ``output_path`` instead, which the outcome
+    names: without any rename, as an object store wants it.  One plan and one write; the
+    rows are then counted from the file footers.  Only if there are none are the inputs
+    looked at, to tell an empty input from one with nothing to report.
     """
     report = audit_report(orders, payments, year)
     require_contract(report, schemas.report_schema(timestamp))
@@ -60,23 +66,26 @@ def write_audit(
         refused = refused_payments(payments)
         preview(payments)
         preview(orders)
-        preview(match_payments(in_scope, refused, hot=hot_keys(refused)), 10)
-
-    counter = Observation()
-    replace_parquet(report.observe(counter, F.count(F.lit(1)).alias("rows")), output_path)
-    report_rows = counter.get.get("rows", 0)
-    logger.info("%d report rows written to %s", report_rows, output_path)
+        preview(match_payments(in_scope, refused), 10)
+
+    if new_folder:
+        path = new_parquet(report, output_path)
+    else:
+        path = output_path
+        replace_parquet(report, path)
+    written = orders.sparkSession.read.schema(report.schema).parquet(path)
+    report_rows = written.count()
+    logger.info("%d report rows written to %s", report_rows, path)
     if show_previews:
-        written = orders.sparkSession.read.schema(report.schema).parquet(output_path)
         preview(written.orderBy(*schemas.REPORT_ORDER), 10)
 
     empty = ()
     if report_rows == 0:
-        inputs = {"orders": orders, "payments": payments}
-        empty = tuple(name for name, df in inputs.items() if df.isEmpty())
+        counts = row_counts({"orders": orders, "payments": payments}).filter("n_rows = 0")
+        empty = tuple(sorted(row.dataset for row in counts.collect()))
         for name in empty:
             logger.warning("the %s input holds no records", name)
-    return AuditOutcome(report_rows, empty)
+    return AuditOutcome(report_rows, path, empty)
 
 
 def run_audit(
@@ -90,10 +99,11 @@ def run_audit(
     timestamp: str = "timestamp",
     staging_path: str | None = None,
     show_previews: bool = False,
+    new_folder: bool = False,
 ) -> AuditOutcome:
     """The whole audit: orders and payments as text in, sorted report as Parquet out.
 
-    With ``staging_path`` both inputs are first copied there as Parquet, which checks
+    With ``staging_path`` both inputs are first copied to new folders there as Parquet, which checks
     every column of every row and serves further reports without parsing text again.
     """
     orders = read_orders(spark, orders_path, separator, header, timestamp)
@@ -101,7 +111,7 @@ def run_audit(
     if staging_path:
         orders = stage_parquet(orders, f"{staging_path}/orders", ["data_criacao_pedido"])
         payments = stage_parquet(payments, f"{staging_path}/payments")
-    return write_audit(orders, payments, output_path, year, timestamp, show_previews)
+    return write_audit(orders, payments, output_path, year, timestamp, show_previews, new_folder)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -115,6 +125,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--no-header", dest="header", action="store_false")
     parser.add_argument("--time-zone", help="zone of dates without one; default: the session's")
     parser.add_argument("--staging", help="folder for Parquet copies of the inputs")
+    parser.add_argument(
+        "--new-folder", action="store_true", help="write to a new folder below the output"
+    )
     parser.add_argument("--preview", action="store_true", help="print schemas and first rows")
     options = parser.parse_args(arguments)
 
@@ -132,4 +145,5 @@ def main(arguments: Sequence[str] | None = None) -> None:
         header=options.header,
         staging_path=options.staging,
         show_previews=options.preview,
+        new_folder=options.new_folder,
     )

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from declined import schemas
 from declined.functions import in_calendar_year
 from declined.operators import (
+    count_matches,
+    expand_copies,
     in_report_order,
     lift_field,
     match_payments,
@@ -15,6 +17,7 @@ from declined.operators import (
     orders_of_year,
     refused_payments,
     report_columns,
+    row_counts,
     with_order_total,
 )
 from declined.plans import report_of_matches
@@ -26,7 +29,7 @@ from frames import DAY, matches, orders, payments, values
 @pytest.mark.parametrize("ansi", ["true", "false"])
 @pytest.mark.parametrize(
     "price, quantity, total",
-    [(1500.0, 2, 3000.0), (500.0, 0, 0.0), (None, 2, None), (10.0, None, None)],
+    [(12.5, 4, 50.0), (0.25, 0, 0.0), (None, 3, None), (7.75, None, None), (-2.5, 3, -7.5)],
 )
 def test_order_total(spark, setting, ansi, price, quantity, total):
     setting("spark.sql.ansi.enabled", ansi)
@@ -122,13 +125,18 @@ def test_lift_field(spark):
 
 def test_match_columns_and_values(spark):
     left = with_order_total(
-        orders(spark, {"id_pedido": "p1"}, {"id_pedido": "p2", "uf": "RJ"}, {"id_pedido": "p3"})
+        orders(
+            spark,
+            {"id_pedido": "k7", "uf": "AC", "quantidade_pedido": 3},
+            {"id_pedido": "k8", "uf": "PA"},
+            {"id_pedido": "unpaid"},
+        )
     )
     right = payments(
         spark,
-        {"id_pedido": "p1", "forma_pagamento": "cartao"},
-        {"id_pedido": "p2", "forma_pagamento": "boleto", "status": True},
-        {"id_pedido": "p99"},
+        {"id_pedido": "k8", "forma_pagamento": "debito", "avaliacao_fraude": (True, 0.7)},
+        {"id_pedido": "k7", "forma_pagamento": "vale", "status": True},
+        {"id_pedido": "unknown"},
     )
     joined = match_payments(left, right)
     assert joined.columns == [
@@ -136,8 +144,8 @@ def test_match_columns_and_values(spark):
         "data_criacao_pedido", "status", "fraude",
     ]
     assert sorted(values(joined, "*")) == [
-        ("p1", "SP", "cartao", 100.0, DAY, False, False),
-        ("p2", "RJ", "boleto", 100.0, DAY, True, False),
+        ("k7", "AC", "vale", 300.0, DAY, True, False),
+        ("k8", "PA", "debito", 100.0, DAY, False, True),
     ]
 
 
@@ -149,6 +157,32 @@ def test_match_fans_out_and_ignores_null_keys(spark):
     assert match_payments(left, right).count() == 3
 
 
+def test_counted_matches_expand_to_all_pairs(spark):
+    left = with_order_total(orders(spark, {}, {}, {"uf": "AC"}))
+    right = payments(spark, *[{}] * 5, {"forma_pagamento": "vale"})
+    counted = count_matches(left, right)
+    assert sorted(values(counted, "uf", "forma_pagamento", "copies")) == [
+        ("AC", "pix", 5), ("AC", "vale", 1), ("SP", "pix", 10), ("SP", "vale", 2),
+    ]
+    assert match_payments(left, right).count() == 18
+
+
+@pytest.mark.parametrize("run", [1, 3, 10_000])
+def test_copies_are_numbered_without_gaps(spark, run):
+    df = spark.createDataFrame([("a", 7), ("b", 1), ("c", 0), (None, 3), ("a", 2)], "k string, n long")
+    counted = df.filter("n > 0")
+    numbered = values(expand_copies(counted, "n", "i", run=run), "k", "i")
+    want = [("a", i) for i in (*range(1, 8), 1, 2)] + [("b", 1)] + [(None, i) for i in (1, 2, 3)]
+    assert sorted(numbered, key=str) == sorted(want, key=str)
+    assert expand_copies(counted, "n", run=run).columns == ["k"]
+    assert expand_copies(counted.limit(0), "n").count() == 0
+
+
+def test_row_counts(spark):
+    counts = row_counts({"some": spark.range(5), "none": spark.range(0)})
+    assert sorted(values(counts, "*")) == [("none", 0), ("some", 5)]
+
+
 def test_match_of_frames_with_a_common_origin(spark):
     both = payments(spark, {"id_pedido": "p1"}, {"id_pedido": "p2"}).selectExpr(
         "*", "'SP' as uf", "1.0D as valor_total_pedido",
@@ -171,14 +205,10 @@ def test_report_columns_keep_duplicates(spark):
 
 
 def test_one_row_per_order(spark):
-    df = matches(
-        spark,
-        {"id_pedido": "p1", "forma_pagamento": "cartao"},
-        {"id_pedido": "p1", "forma_pagamento": "boleto"},
-        {"id_pedido": "p2"},
-    )
-    kept = values(report_of_matches(df), "id_pedido", "forma_pagamento")
-    assert sorted(kept) == [("p1", "boleto"), ("p2", "pix")]
+    methods = {"k1": ["vale", "debito", "vale"], "k2": ["ted"], "k3": ["b", None, "a"]}
+    rows = [{"id_pedido": k, "forma_pagamento": m} for k, ms in methods.items() for m in ms]
+    kept = values(report_of_matches(matches(spark, *rows)), "id_pedido", "forma_pagamento")
+    assert dict(kept) == {"k1": "debito", "k2": "ted", "k3": None} and len(kept) == 3
 
 
 def test_survivor_is_a_whole_row_whatever_the_partitioning(spark):
@@ -221,14 +251,18 @@ def test_identical_duplicates_and_null_keys(spark):
 
 
 def test_report_order(spark):
-    df = matches(
-        spark,
-        {"id_pedido": "p1", "forma_pagamento": "cartao", "data_criacao_pedido": datetime(2025, 3, 1)},
-        {"id_pedido": "p2", "uf": "RJ", "forma_pagamento": "boleto"},
-        {"id_pedido": "p3", "forma_pagamento": "cartao"},
-        {"id_pedido": "p4", "uf": "RJ"},
-    )
-    assert values(report_of_matches(df), "id_pedido") == [("p2",), ("p4",), ("p3",), ("p1",)]
+    """State before method before date before id."""
+    keys = [
+        (uf, method, DAY + timedelta(days=day), f"k{number}")
+        for uf in ("AC", "PA") for method in ("debito", "vale") for day in (0, 40) for number in (1, 2)
+    ]
+    numbered = [(*key[:3], f"{key[3]}-{i}") for i, key in enumerate(keys)]
+    rows = [
+        {"uf": uf, "forma_pagamento": method, "data_criacao_pedido": day, "id_pedido": k}
+        for uf, method, day, k in random.Random(3).sample(numbered, len(numbered))
+    ]
+    ordered = values(report_of_matches(matches(spark, *rows)), "uf", "forma_pagamento", "data_criacao_pedido", "id_pedido")
+    assert ordered == sorted(numbered)
 
 
 def test_order_puts_nulls_first_and_breaks_ties_by_key(spark):
@@ -262,4 +296,4 @@ def test_order_puts_nulls_first_and_breaks_ties_by_key(spark):
 )
 def test_missing_column_raises_at_once(spark, apply):
     with pytest.raises(Exception, match="UNRESOLVED_COLUMN|FIELD_NOT_FOUND"):
-        apply(spark.createDataFrame([("x",)], "coluna_inexistente string"))
+        apply(spark.createDataFrame([("x",)], "something_else string"))

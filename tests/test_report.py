@@ -1,6 +1,5 @@
 """The report plan: same rows as the plain composition, and the physical plan we want."""
 
-import hashlib
 import random
 import re
 from datetime import datetime, timedelta
@@ -9,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from declined.operators import (
-    hot_keys,
+    count_matches,
     in_report_order,
     match_payments,
     one_per_key,
@@ -170,16 +169,16 @@ def test_each_side_is_reduced_before_its_only_exchange(stored, setting):
 
 @pytest.mark.parametrize("name", ["audit", "report", "pairs"])
 def test_the_join_runs_once_though_the_sort_samples_it(stored, setting, name):
-    """The exchange right below the range partitioning holds the joined rows."""
+    """The first exchange below the range partitioning holds the joined rows, or their counts."""
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
-    pairs = match_payments(with_order_total(stored[0]), refused_payments(stored[1]))
+    counted = count_matches(with_order_total(stored[0]), refused_payments(stored[1]))
     df = {
         "audit": audit_report(*stored),
-        "report": report_of_matches(pairs),
-        "pairs": in_report_order(report_columns(pairs)),
+        "report": report_of_matches(counted),
+        "pairs": in_report_order(counted, copies="copies"),
     }[name]
-    below_range = re.search(r"Exchange rangepartitioning[^\n]*\n([^\n]*)", executed_plan(df)).group(1)
-    assert "Exchange" in below_range and "REBALANCE_PARTITIONS" in below_range
+    below_range = executed_plan(df).split("Exchange rangepartitioning")[1].split("Exchange")[1]
+    assert ("RoundRobin" if name == "pairs" else "REBALANCE_PARTITIONS") in below_range.split("\n")[0]
 
 
 def test_dedup_of_reduced_matches_adds_no_exchange(stored, setting):
@@ -210,48 +209,108 @@ def test_a_hot_order_ships_one_row_per_task(stored, setting):
 # --- the join of all pairs with a hot key
 
 
-HOT = hashlib.sha256(b"7500").hexdigest()
+PARTS = 16
 
 
-def test_hot_keys_are_estimated_from_a_sample(stored, messy):
-    refused = refused_payments(stored[1])
-    assert hot_keys(refused) == []
-    assert hot_keys(refused, at_least=10_000, fraction=0.1) == [HOT]
-    assert hot_keys(refused, at_least=1, fraction=1.0, at_most=5)[0] == HOT
-    assert len(hot_keys(refused, at_least=1, fraction=1.0, at_most=5)) == 5
-    assert None not in hot_keys(messy[1], at_least=1, fraction=1.0)
+@pytest.fixture
+def large_parts(setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.shuffle.partitions", str(PARTS))
 
 
-@pytest.mark.parametrize("slices", [None, 1, 3])
-@pytest.mark.parametrize("threshold", ["10MB", "-1"], ids=["broadcast", "sort-merge"])
-def test_spreading_hot_keys_keeps_every_pair(messy, setting, threshold, slices):
-    setting("spark.sql.autoBroadcastJoinThreshold", threshold)
-    left, right = with_order_total(messy[0]), messy[1].repartition(7)
-    expected = match_payments(left, right)
-    actual = match_payments(left, right, hot=["hot", "7", "not there"], slices=slices)
-    assert actual.columns == expected.columns
-    assert sorted(map(str, actual.collect())) == sorted(map(str, expected.collect()))
+def rows_by_task(df):
+    """With a value made of all columns, so that none is pruned."""
+    counted = df.groupBy(F.spark_partition_id()).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.xxhash64(*df.columns))
+    )
+    return [r["n"] for r in counted.collect()]
 
 
-def test_a_hot_key_is_spread_over_tasks(stored, setting):
-    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
-    setting("spark.sql.adaptive.enabled", "false")
-    left, right = with_order_total(stored[0]), refused_payments(stored[1])
+def hot_inputs(spark, method):
+    """20,000 orders and 600,000 payments, a third of them of one order."""
+    owner = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 20_000).cast("string")
+    left = spark.range(20_000).select(
+        F.col("id").cast("string").alias("id_pedido"),
+        F.lit("SP").alias("uf"),
+        F.lit(1.0).alias("valor_total_pedido"),
+        F.lit(DAY).alias("data_criacao_pedido"),
+    )
+    right = spark.range(600_000, numPartitions=8).select(
+        owner.alias("id_pedido"),
+        method.alias("forma_pagamento"),
+        F.lit(False).alias("status"),
+        F.struct(F.lit(False).alias("fraude"), F.lit(0.5).alias("score")).alias("avaliacao_fraude"),
+    )
+    return left, right
+
+
+def test_equal_payments_of_a_hot_order_are_spread(spark, large_parts):
+    pairs = match_payments(*hot_inputs(spark, F.lit("M0")))
+    rows = rows_by_task(pairs)
+    assert sum(rows) == 600_000 and len(rows) == PARTS
+    assert max(rows) < 1.5 * sum(rows) / PARTS
+
+
+def test_equal_matches_do_not_stay_together_in_the_sort(spark, setting, large_parts):
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    counted = count_matches(*hot_inputs(spark, F.lit("M0"))).drop("status", "fraude")
+    ordered = in_report_order(counted, copies="copies")
+    rows = rows_by_task(ordered)
+    assert sum(rows) == 600_000
+    assert max(rows) < 2 * sum(rows) / PARTS
+
+
+@pytest.mark.parametrize("side", ["payments", "orders"])
+def test_different_rows_of_a_hot_order_are_split_by_their_bytes(spark, setting, large_parts, side):
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "100KB")
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    left, right = hot_inputs(spark, F.sha2(F.col("id").cast("string"), 256))
+    if side == "orders":
+        left, right = (
+            right.select("id_pedido", F.col("forma_pagamento").alias("uf"), F.lit(1.0).alias("valor_total_pedido"), F.lit(DAY).alias("data_criacao_pedido")),
+            left.select("id_pedido", F.lit("M0").alias("forma_pagamento"), F.lit(False).alias("status"), F.struct(F.lit(False).alias("fraude"), F.lit(0.5).alias("score")).alias("avaliacao_fraude")),
+        )
+    counted = count_matches(left, right)
+    assert "SortMergeJoin(skew=true) [id_pedido" in final_plan(counted)
+    assert max(rows_by_task(counted)) < 100_000
+
+
+def test_building_the_queries_starts_no_job(spark, stored):
+    spark.sparkContext.setJobGroup("build", "")
+    in_scope, refused = with_order_total(stored[0]), refused_payments(stored[1])
+    match_payments(in_scope, refused)
+    in_report_order(report_columns(count_matches(in_scope, refused)).withColumn("copies", F.lit(1)), copies="copies")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("build")) == []
 
-    def largest_task(pairs):
-        return max(r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect())
 
-    assert largest_task(match_payments(left, right)) > 20_000
-    assert largest_task(match_payments(left, right, hot=[HOT])) < 20_000
-    assert match_payments(left, right, hot=[HOT]).count() == 60_000
+@pytest.mark.parametrize("threshold", ["10MB", "-1"], ids=["broadcast", "sort-merge"])
+def test_counted_pairs_are_all_pairs(messy, setting, threshold):
+    setting("spark.sql.autoBroadcastJoinThreshold", threshold)
+    left, right = with_order_total(messy[0]), messy[1].withColumn("fraude", F.col("avaliacao_fraude.fraude"))
+    plain = left.join(right.select("id_pedido", "forma_pagamento", "status", "fraude"), "id_pedido")
+    actual = match_payments(left, messy[1])
+    assert len(actual.columns) == 7
+    assert sorted(map(str, actual.collect())) == sorted(map(str, plain.select(*actual.columns).collect()))
 
 
-def test_report_of_spread_matches(stored):
-    order_rows, payment_rows = stored
-    pairs = match_payments(
-        with_order_total(orders_of_year(order_rows)), refused_payments(payment_rows), hot=[HOT]
-    )
-    assert report_of_matches(pairs).collect() == audit_report(*stored).collect()
+def test_pairs_in_report_order(messy):
+    left, right = with_order_total(messy[0]), messy[1]
+    counted = count_matches(left, right).drop("status", "fraude")
+    ordered = in_report_order(counted, copies="copies")
+    assert ordered.columns == report_columns(match_payments(left, right)).columns
+    rows = [tuple((v is not None, v) for v in (r.uf, r.forma_pagamento, r.data_criacao_pedido, r.id_pedido)) for r in ordered.collect()]
+    assert rows == sorted(rows)
+    assert sorted(map(str, ordered.collect())) == sorted(map(str, report_columns(match_payments(left, right)).collect()))
+
+
+def test_report_of_counted_matches_repeats_orders(messy):
+    """What the dedup of the report has to work on."""
+    order_rows, payment_rows = messy
+    counted = count_matches(with_order_total(orders_of_year(order_rows)), refused_payments(payment_rows))
+    assert counted.groupBy("id_pedido").count().filter("count > 1").count() > 20
+    assert report_of_matches(counted).collect() == audit_report(*messy).collect()
 
 
 def test_no_python_worker_and_no_cross_join(stored):
@@ -270,5 +329,8 @@ def test_broadcast_is_decided_by_measured_size(stored, setting):
 
 
 def test_columns_of_matches_are_pruned(stored):
+    """Flags are grouped by, so they are read; nothing else beyond the report is."""
     df = report_columns(match_payments(with_order_total(stored[0]), stored[1]))
-    assert "status" not in re.findall(r"ReadSchema: (struct<.*>)", executed_plan(df))[1]
+    read = re.findall(r"ReadSchema: (struct<.*>)", executed_plan(df))
+    assert not re.search("produto|id_cliente", read[0])
+    assert not re.search("valor_pagamento|data_processamento|score", read[1])

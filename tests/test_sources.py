@@ -12,6 +12,9 @@ from declined.operators import orders_of_year
 from declined.sources import (
     ContractViolation,
     contract_violations,
+    delete_folder,
+    new_parquet,
+    parquet,
     read_orders,
     read_payments,
     replace_parquet,
@@ -212,6 +215,71 @@ def test_failed_write_leaves_the_old_output(spark, tmp_path):
     assert visible_and_hidden(tmp_path) == ["report"]
 
 
+class Renames:
+    """A file system whose chosen renames, counted from 1, fail."""
+
+    def __init__(self, fs, by_exception, *fail):
+        self.fs, self.by_exception, self.fail, self.n = fs, by_exception, fail, 0
+
+    def __getattr__(self, name):
+        return getattr(self.fs, name)
+
+    def rename(self, source, target):
+        self.n += 1
+        if self.n not in self.fail:
+            return self.fs.rename(source, target)
+        if self.by_exception:
+            raise OSError("refused")
+        return False
+
+
+@pytest.fixture
+def renames(monkeypatch):
+    def failing(*fail, by_exception):
+        locate = parquet._locate
+
+        def located(spark, path):
+            fs, target = locate(spark, path)
+            return Renames(fs, by_exception, *fail), target
+
+        monkeypatch.setattr(parquet, "_locate", located)
+
+    return failing
+
+
+@pytest.mark.parametrize("by_exception", [False, True])
+@pytest.mark.parametrize("failing", [1, 2])
+def test_a_failed_rename_leaves_the_old_output(spark, tmp_path, renames, failing, by_exception):
+    target = tmp_path / "report"
+    replace_parquet(spark.range(3), str(target))
+    renames(failing, by_exception=by_exception)
+    with pytest.raises(OSError):
+        replace_parquet(spark.range(10, 12), str(target))
+    assert sorted(values(spark.read.parquet(str(target)), "id")) == [(0,), (1,), (2,)]
+    assert visible_and_hidden(tmp_path) == ["report"]
+
+
+@pytest.mark.parametrize("by_exception", [False, True])
+def test_if_the_old_output_cannot_be_put_back_both_stay(spark, tmp_path, renames, by_exception):
+    target = tmp_path / "report"
+    replace_parquet(spark.range(3), str(target))
+    renames(2, 3, by_exception=by_exception)
+    with pytest.raises(OSError) as raised:
+        replace_parquet(spark.range(10, 12), str(target))
+    previous, staging = visible_and_hidden(tmp_path)
+    assert previous.endswith(".previous") and staging.endswith(".staging")
+    assert previous in str(raised.value) and staging in str(raised.value)
+    assert spark.read.parquet(str(tmp_path / previous)).count() == 3
+    assert spark.read.parquet(str(tmp_path / staging)).count() == 2
+
+
+def test_new_folders_and_their_deletion(spark, tmp_path):
+    one, two = (new_parquet(spark.range(n), str(tmp_path)) for n in (1, 2))
+    assert [spark.read.parquet(p).count() for p in (one, two)] == [1, 2]
+    delete_folder(spark, one)
+    assert visible_and_hidden(tmp_path) == [two.rpartition("/")[2]]
+
+
 def test_a_plan_may_replace_its_own_input(spark, tmp_path):
     target = str(tmp_path / "report")
     replace_parquet(spark.range(3), target)
