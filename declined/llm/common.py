@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -34,6 +36,20 @@ def with_words(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
+def for_tasks(df: DataFrame) -> DataFrame:
+    """``df`` itself; Python tasks that are made from now on look for this package where it is here.
+
+    That serves sessions on one machine, or with a shared installation, whatever folder they were
+    started in.  On other clusters the package comes with ``--py-files``.
+    """
+    environment = df.sparkSession.sparkContext.environment
+    here = str(Path(__file__).resolve().parents[2])
+    known = environment.get("PYTHONPATH", "")
+    if here not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, here)))
+    return df
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below the folder that all machines share.
 

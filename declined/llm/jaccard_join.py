@@ -20,9 +20,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from declined.llm.common import written
+from declined.llm.common import for_tasks, written
 from declined.llm.components import components
-from declined.llm.shingles import STEP, mixed, shingle_hashes, word_hashes
+from declined.llm.shingles import STEP, mixed, packed, shingle_hashes, unpacked, word_hashes
 
 # Links: LINK_OF * common >= LINK * union, and so sizes a <= b with LINK * b <= LINK_OF * a.
 LINK, LINK_OF = 75, 100
@@ -124,7 +124,7 @@ def shingle_set(text: str | None) -> np.ndarray:
 
 
 SKETCHED = """doc_id LONG, text_hash LONG, n_shingles LONG, node LONG, bits BINARY,
-              bucket INT, nodes BINARY, places BINARY, refs BINARY"""
+              bucket INT, n INT, nodes BINARY, places BINARY, refs BINARY"""
 
 
 def _sketched(
@@ -136,15 +136,16 @@ def _sketched(
 
     def passed_on() -> pa.RecordBatch:
         place, ref, node = np.concatenate(places), np.concatenate(refs), np.array(nodes, np.int64)
-        bucket = (place >> np.uint64(32)) % np.uint64(n_buckets)
-        order = np.argsort(bucket, kind="stable")
-        place, ref, bucket = place[order], ref[order], bucket[order]
+        bucket, low = (place >> np.uint64(32)) % np.uint64(n_buckets), place & np.uint64(0xFFFFFFFF)
+        # Rising places need few bytes, as differences.
+        order = np.argsort((bucket << np.uint64(32)) | low)
+        low, ref, bucket = low[order].astype(np.int64), ref[order], bucket[order]
         first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
         rows = []
         for start, end in zip(first, np.append(first[1:], len(bucket)), strict=True):
             used, own = np.unique(ref[start:end], return_inverse=True)
-            low = place[start:end].astype(np.uint32)
-            rows.append((int(bucket[start]), node[used].tobytes(), low.tobytes(), own.astype(np.uint32).tobytes()))
+            steps = np.diff(low[start:end], prepend=0)
+            rows.append((int(bucket[start]), int(end - start), node[used].tobytes(), packed(steps), packed(own)))
         return sketch_batch([], [], [], [], [], rows)
 
     def sketch_batch(ids, hashes, sizes, keys, bits, rows) -> pa.RecordBatch:
@@ -153,8 +154,8 @@ def _sketched(
         of = lambda k, kind: pa.array([*[None] * n, *[r[k] for r in rows]], kind)
         return pa.RecordBatch.from_arrays(
             [own(ids, pa.int64()), own(hashes, pa.int64()), own(sizes, pa.int64()), own(keys, pa.int64()), own(bits, pa.binary()),
-             of(0, pa.int32()), of(1, pa.binary()), of(2, pa.binary()), of(3, pa.binary())],
-            ["doc_id", "text_hash", "n_shingles", "node", "bits", "bucket", "nodes", "places", "refs"],
+             of(0, pa.int32()), of(1, pa.int32()), *[of(k, pa.binary()) for k in (2, 3, 4)]],
+            ["doc_id", "text_hash", "n_shingles", "node", "bits", "bucket", "n", "nodes", "places", "refs"],
         )
 
     for batch in batches:
@@ -188,9 +189,9 @@ def _sketched(
 def _meetings(rows: pd.DataFrame) -> pd.DataFrame:
     """Sets of nodes that agree in a place of the sketch, each set once for a bucket."""
     node, place = [], []
-    for nodes, places, refs in zip(rows["nodes"], rows["places"], rows["refs"], strict=True):
-        node.append(np.frombuffer(nodes, np.int64)[np.frombuffer(refs, np.uint32)])
-        place.append(np.frombuffer(places, np.uint32))
+    for row in rows.itertuples():
+        node.append(np.frombuffer(row.nodes, np.int64)[unpacked(row.refs, row.n)])
+        place.append(np.cumsum(unpacked(row.places, row.n), dtype=np.uint32))
     node, place = np.concatenate(node), np.concatenate(place)
     order = np.lexsort((node, place))
     node, place = node[order], place[order]
@@ -278,7 +279,7 @@ def frequent_shingles(
                 h = shingle_set(text.as_py()).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(h)], ["h"])
 
-    sample = docs.select("text").sample(min(1.0, sample_rows / max(rows, 1)), seed=1)
+    sample = for_tasks(docs).select("text").sample(min(1.0, sample_rows / max(rows, 1)), seed=1)
     counted = sample.mapInArrow(hashes, "h LONG").groupBy("h").count().filter(f"count >= {at_least}")
     top = counted.orderBy(F.desc("count"), "h").limit(most).collect()
     common = np.array([r["h"] for r in top], np.int64).view(np.uint64)
@@ -313,14 +314,14 @@ def near_duplicates(
     n_buckets = max(1, (facts["bytes"] or 0) // 9 // signatures_per_bucket + 1)
     common, counts = frequent_shingles(docs, facts["n"])
     sketching = partial(_sketched, common=common, counts=counts, n_buckets=n_buckets)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = for_tasks(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     sketched = written(sketched.mapInArrow(sketching, SKETCHED), "sketches")
     rows = sketched.filter("bucket IS NULL").select(
         "doc_id", "text_hash", "n_shingles", "node", "bits"
     )
 
-    blobs = sketched.filter("bucket IS NOT NULL").select("bucket", "nodes", "places", "refs")
+    blobs = sketched.filter("bucket IS NOT NULL").select("bucket", "n", "nodes", "places", "refs")
     meetings = blobs.groupBy("bucket").applyInPandas(_meetings, "meeting LONG, members ARRAY<LONG>")
     meetings = written(meetings.dropDuplicates(["meeting"]), "meetings")
     roots = _linked(docs, rows, meetings, most_bytes)

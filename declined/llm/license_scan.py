@@ -135,13 +135,19 @@ def document_licenses(docs: DataFrame, known: Mapping[str, list[str]] | None = N
     found = license_scan(docs.select("doc_id", "text"), known).select(
         "doc_id", "digest", "license", F.xxhash64("text").alias("hash")
     )
-    lines = docs.select("doc_id", F.xxhash64("text").alias("hash"),
-                        F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
-    hits = license_scan(lines.filter(F.trim("line") != ""), known, "line").filter("license IS NOT NULL")
-    hits = hits.groupBy("doc_id", "hash").agg(
-        F.countDistinct("line").alias("n"), F.array_join(F.sort_array(F.collect_set("license")), ",").alias("names")
+    lines = docs.select(
+        "doc_id",
+        F.xxhash64("text").alias("hash"),
+        F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"),
+    )
+    hits = license_scan(lines.filter(F.trim("line") != ""), known, "line")
+    hits = hits.filter("license IS NOT NULL").groupBy("doc_id", "hash").agg(
+        F.countDistinct("line").alias("n"),
+        F.array_join(F.sort_array(F.collect_set("license")), ",").alias("names"),
+    )
+    hits = hits.select(
+        F.col("doc_id").alias("hit_id"), F.col("hash").alias("hit_hash"), "n", "names"
     )
-    hits = hits.select(F.col("doc_id").alias("hit_id"), F.col("hash").alias("hit_hash"), "n", "names")
     on = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("hash") == F.col("hit_hash"))
     return found.join(hits, on, "left").select(
         "doc_id",

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from declined.llm.common import written
+from declined.llm.common import for_tasks, written
 from declined.llm.elias_fano import EliasFano
 from declined.llm.shingles import mixed
 
@@ -356,7 +356,9 @@ def _scores(
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SCORES, strict=True)], schema=SCORES)
 
 
-def hot_words(docs: DataFrame, rows: int, shards: int, sample_rows: int = 2000) -> np.ndarray:
+def hot_words(
+    docs: DataFrame, rows: int, shards: int, sample_rows: int = 2000
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of words that hold more than two shards' share of a sample of the pairs.
 
     There are at most half as many as shards.  They decide to how many shards a word's pairs
@@ -407,7 +409,7 @@ def lm_scores(
     Repeated rows are scored each, extra columns are left out, an empty table gives an empty one.
     ``models``, a list, receives a table of the shards' tries, as written in the shared folder.
     """
-    docs = docs.select(
+    docs = for_tasks(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(trains, F.lit(False)).alias("trains")
     )
     facts = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()

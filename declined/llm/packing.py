@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from declined.llm.common import numbered, written
+from declined.llm.common import for_tasks, numbered, written
 from declined.llm.tokens import byte_bpe
 
 PIECES = "piece INT, start LONG, length LONG, ids BINARY"
@@ -58,7 +58,7 @@ def token_pieces(
     """
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     cutting = partial(_pieces, path=tokenizer_path, capacity=capacity, end_id=end_id)
-    return docs.select("doc_id", "text").mapInArrow(cutting, f"doc_id {doc_type}, {PIECES}")
+    return for_tasks(docs).select("doc_id", "text").mapInArrow(cutting, f"doc_id {doc_type}, {PIECES}")
 
 
 class _Counts:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -32,3 +33,12 @@ def shingle_hashes(words: np.ndarray, width: int = 5) -> np.ndarray:
         for k in range(min(width, len(words))):
             h = h * STEP + words[k : k + n]
         return mixed(h + np.uint64(min(width, len(words))))
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers, compressed."""
+    return pa.compress(values.astype(np.uint32).tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.uint32)

@@ -131,7 +131,10 @@ def url_verdicts(
 
     url = F.col("url")
     rows = pages.select(
-        "page_id", host_of(url).alias("host"), path_of(url).alias("path"), canonical_url(url).alias("canonical")
+        "page_id",
+        host_of(url).alias("host"),
+        path_of(url).alias("path"),
+        canonical_url(url).alias("canonical"),
     )
     masks = [m.alias(f"m{w}") for w, m in enumerate(_mask(F.col("canonical"), bits))]
     rows = rows.select("*", _block(F.col("canonical"), n_blocks).alias("at"), *masks)
