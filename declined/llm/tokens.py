@@ -36,6 +36,7 @@ class _Encoded(dict):
         super().__init__()
         self.encode, self.model, self.letters = tokenizer.encode, tokenizer.model, byte_letters()
         self.before, self.most, self.older = before, most, {}
+        self.blank = chr(self.letters[ord(" ")])
         self.marks = self if marks is None else marks
 
     def __missing__(self, part: str) -> bytes:
@@ -44,19 +45,25 @@ class _Encoded(dict):
             self.clear()
         found = self.older.get(part)
         if found is None:
-            word = part.rstrip(MARKS)
-            if LETTERS.fullmatch(word) and not SPECIAL.search(part):
-                if word != part:  # a letter and a mark never share a token
-                    return self[word] + self.marks[part[len(word) :]]
-                # Letters, with a blank before them or not, are one piece for the model.
-                piece = (self.before + word).encode().decode("latin-1").translate(self.letters)
-                ids = [token.id for token in self.model.tokenize(piece)]
-            else:
-                ids = self.encode(self.before + part, add_special_tokens=False).ids
-            found = array("I", ids).tobytes()
+            found = self._encoded(part)
         self[part] = found
         return found
 
+    def _encoded(self, part: str) -> bytes:
+        if LETTERS.fullmatch(part):
+            # Letters, with a blank before them or not, are one piece for the model.
+            piece = self.before + part
+            if piece.isascii():
+                piece = piece.replace(" ", self.blank)
+            else:
+                piece = piece.encode().decode("latin-1").translate(self.letters)
+            return array("I", [token.id for token in self.model.tokenize(piece)]).tobytes()
+        word = part.rstrip(MARKS)
+        if word != part and LETTERS.fullmatch(word) and not SPECIAL.search(part):
+            return self[word] + self.marks[part[len(word) :]]  # they never share a token
+        ids = self.encode(self.before + part, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
 
 class ByteBpe:
     """A byte-level BPE tokenizer from a ``tokenizers`` file.
@@ -68,7 +75,7 @@ class ByteBpe:
     finds the parts.  The result is that of encoding the whole text.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -81,13 +88,15 @@ class ByteBpe:
             return b""
         if NEXT_TO_EACH_OTHER.search(text):
             return b"".join(map(self.first.__getitem__, BEFORE_BLANK.split(text)))
-        lines = []
+        found, line_break, after_blank = [], self.first["\n"], self.after_blank.__getitem__
         for line in text.split("\n"):
             words = line.split(" ")
-            lines.append(self.first[words[0]])
-            if len(words) > 1:
-                lines[-1] += b"".join(map(self.after_blank.__getitem__, words[1:]))
-        return self.first["\n"].join(lines)
+            found.append(self.first[words[0]])
+            del words[0]
+            found.extend(map(after_blank, words))
+            found.append(line_break)
+        found.pop()
+        return b"".join(found)
 
 
 @cache
