@@ -26,7 +26,7 @@ from declined.llm.shingles import STEP, mixed, packed, shingle_hashes, unpacked,
 
 # Links: LINK_OF * common >= LINK * union, and so sizes a <= b with LINK * b <= LINK_OF * a.
 LINK, LINK_OF = 75, 100
-SIGNATURES_HELD = 3_000_000  # by a task before it passes them on
+SIGNATURES_HELD = 1_500_000  # by a task before it passes them on
 BYTES_PER_NODE = 100  # of a broadcast hash table of nodes
 BLOCK = 2000  # members of a hub that are compared at a time
 
