@@ -28,7 +28,7 @@ from declined.llm.shingles import STEP, mixed, packed, shingle_hashes, unpacked,
 LINK, LINK_OF = 75, 100
 SIGNATURES_HELD = 1_500_000  # by a task before it passes them on
 BYTES_PER_NODE = 100  # of a broadcast hash table of nodes
-BLOCK = 2000  # members of a hub that are compared at a time
+BLOCK = 500  # members of a hub that are compared at a time
 
 
 # Where bands of sizes start; neighbours differ by a third, so that links stay in a band or cross
@@ -217,30 +217,38 @@ def _possible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rows.loc[np.array(near, bool), ["a", "b"]]
 
 
-def _near_strays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _by_width(column: pa.Array, row: int) -> dict[int, tuple[np.ndarray, ...]]:
+    """The members of one block, by the width of their sketches: nodes, roots, sizes, sketches."""
+    block = column.slice(row, 1).flatten()
+    node, root, size = (block.field(c).to_numpy() for c in ("node", "root", "size"))
+    bits = block.field("bits").to_pylist()
+    width = np.array([len(x) for x in bits], np.int64)
+    found = {}
+    for one in np.unique(width).tolist():
+        own = np.flatnonzero(width == one)
+        sketches = np.frombuffer(b"".join(bits[i] for i in own), np.uint8).reshape(len(own), one)
+        found[one] = node[own], root[own], size[own], sketches
+    return found
+
+
+def _near_strays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a stray and a member of one hub, of different components, that may link."""
-    for rows in batches:
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for row in rows.itertuples():
-            by_width: dict[int, list] = {}
-            for m in row.members:
-                by_width.setdefault(len(m["bits"]), []).append(m)
-            for stray in row.strays:
-                own = np.frombuffer(stray["bits"], np.uint8)
-                for n_bytes, members in by_width.items():
-                    if isinstance(members, list):
-                        members = by_width[n_bytes] = tuple(
-                            np.array([m[c] for m in members]) for c in ("node", "root", "size")
-                        ) + (np.array([np.frombuffer(m["bits"], np.uint8) for m in members]),)
-                    node, root, size, bits = members
-                    width = min(n_bytes, len(own))
-                    apart = folded(bits, width) ^ folded(own, width)
-                    apart = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
-                    most = (LINK_OF - LINK) * (size + stray["size"]) // (LINK_OF + LINK)
-                    found = node[(apart <= most) & (root != stray["root"])]
-                    a.append(np.minimum(found, stray["node"]))
-                    b.append(np.maximum(found, stray["node"]))
-        yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+    for batch in batches:
+        for row in range(batch.num_rows):
+            members = _by_width(batch.column("members"), row)
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for stray_width, strays in _by_width(batch.column("strays"), row).items():
+                for stray, stray_root, stray_size, own in zip(*strays, strict=True):
+                    for member_width, (node, root, size, bits) in members.items():
+                        width = min(member_width, stray_width)
+                        apart = folded(bits, width) ^ folded(own, width)
+                        apart = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
+                        most = (LINK_OF - LINK) * (size + stray_size) // (LINK_OF + LINK)
+                        found = node[(apart <= most) & (root != stray_root)]
+                        a.append(np.minimum(found, stray))
+                        b.append(np.maximum(found, stray))
+            pairs = [pa.array(np.concatenate(x)) for x in (a, b)]
+            yield pa.RecordBatch.from_arrays(pairs, ["a", "b"])
 
 
 def _linking(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -433,7 +441,7 @@ def _linked(docs: DataFrame, rows: DataFrame, meetings: DataFrame, most_bytes: i
     whole = dealt.groupBy("hub", "block").agg(F.collect_list("member").alias("members"))
     strays = dealt.filter("stray").groupBy("hub", "block").agg(F.collect_list("member").alias("strays"))
     near = strays.select("hub", "strays").join(whole.select("hub", "members"), "hub")
-    near = near.mapInPandas(_near_strays, "a LONG, b LONG")
+    near = near.mapInArrow(_near_strays, "a LONG, b LONG")
 
     # 3. Nodes of different hubs and components that meet.
     placed = met.join(roots, "node", "left").join(hubs, "node").select(
