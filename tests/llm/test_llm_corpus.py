@@ -288,6 +288,42 @@ def test_repeated_passages_of_nothing(spark):
     assert substring_dedup.repeated_passages(docs.withColumn("text", F.lit(None).cast("string"))).count() == 0
 
 
+@pytest.mark.parametrize("n_words, least", [(50, 0.9), (55, 0.9), (60, 0.95), (70, 0.95), (100, 0.95)])
+def test_near_passages_in_different_texts(spark, n_words, least):
+    """By brute force all of them are alike enough; those with one word in the middle third changed."""
+    rows, near = [], 200
+    for k in range(near):
+        passage = prose(30_000 + k, n_words).split(" ")
+        other = list(passage)
+        other[n_words // 3 + k % (n_words // 3)] = "changed"
+        a, b = shingles(" ".join(passage)), shingles(" ".join(other))
+        assert len(a & b) >= 0.75 * len(a | b)
+        for i, p in enumerate((passage, other)):
+            rows.append(doc(2 * k + i, f"{prose(40_000 + 2 * k + i, 80)} {' '.join(p)} {prose(50_000 + 2 * k + i, 80)}"))
+    got = substring_dedup.repeated_passages(frame(spark, rows).repartition(4)).collect()
+    assert len({r.doc_id for r in got if r.doc_id % 2 and r.of_doc_id == r.doc_id - 1}) >= least * near
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 12), min_size=8, max_size=24), st.data())
+def test_best_stretch_is_that_of_all_stretches(values, data):
+    n, width = len(values), 6
+    other = data.draw(st.lists(st.integers(0, 12), min_size=n, max_size=n).map(lambda x: [v if v < 7 else w for v, w in zip(x, values)]))
+    node = data.draw(st.integers(0, n - 1))
+    want = None
+    for x in range(node + 1):
+        for y in range(max(node, x + width - 1), n):
+            a, b = set(values[x : y + 1]), set(other[x : y + 1])
+            if len(a & b) >= 0.75 * len(a | b):
+                want = max(want or (0, 0), (len(a & b), x - y - 1))
+    got = substring_dedup.best_stretch(np.array(values), np.array(other), node, width, 0.75)
+    assert (got is None) == (want is None)
+    if got:
+        x, size, alike = got
+        a, b = set(values[x : x + size]), set(other[x : x + size])
+        assert x <= node < x + size and alike == len(a & b) / len(a | b) and (len(a & b), -size) == want
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 30), min_size=1, max_size=120), st.integers(1, 12), st.lists(st.integers(0, 3), min_size=1, max_size=4))
 def test_compact_windows_are_those_of_the_cartesian_tree(values, width, cuts):
