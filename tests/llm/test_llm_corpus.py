@@ -288,6 +288,20 @@ def test_repeated_passages_of_nothing(spark):
     assert substring_dedup.repeated_passages(docs.withColumn("text", F.lit(None).cast("string"))).count() == 0
 
 
+def test_exact_passages_between_texts_that_share_only_half(spark):
+    """Each pair shares 54 words, of which 48 stand in many other texts as well."""
+    rows, pairs = [], 40
+    for k in range(pairs):
+        common, rare = prose(5000 + k, 48), prose(6000 + k, 6)
+        both = [rare[: len(rare) // 2].rsplit(" ", 1)[0], rare.split(" ", 3)[3]]
+        passage = f"{both[0]} {common} {both[1]}"
+        rows += [doc(10_000 * k + 1 + i, f"{prose(7000 + 2 * k + i, 60)} {passage} {prose(8000 + 2 * k + i, 60)}") for i in (0, 1)]
+        rows += [doc(10_000 * k + 10 + i, f"{prose(9000 + 40 * k + i, 60)} {common} {prose(20_000 + 40 * k + i, 60)}") for i in range(40)]
+    got = substring_dedup.repeated_passages(frame(spark, rows).repartition(4)).collect()
+    met = {i for r in got if r.similarity == 1 for i in (r.doc_id, r.of_doc_id)}
+    assert met == plain_sharing(rows) and len(met) == 2 * pairs
+
+
 @pytest.mark.parametrize("n_words, least", [(50, 0.9), (55, 0.9), (60, 0.95), (70, 0.95), (100, 0.95)])
 def test_near_passages_in_different_texts(spark, n_words, least):
     """By brute force all of them are alike enough; those with one word in the middle third changed."""
