@@ -12,13 +12,14 @@ from declined.llm import (
     license_scan,
     line_dedup,
     lm_scoring,
+    merkle,
     packing,
     quality_rules,
     sharding,
     substring_dedup,
     url_filter,
 )
-from declined.llm.common import table
+from declined.llm.common import lower_ascii, table
 from declined.llm.sql import oracle_sql
 
 # The rules, in the order given.
@@ -92,6 +93,25 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumn("held_out", held_out)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' proofs; every fifth, by its id's checksum, is verified with a changed text."""
+    id_checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    text = F.when(id_checksum % 5 == 0, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    leaves = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", merkle.leaf().alias("leaf"), merkle.leaf(text).alias("tampered")
+    )
+    folded_root = merkle.folded(F.col("tampered"), F.col("path"))
+    return merkle.manifest(leaves).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof(F.col("path")).alias("proof_sha256"),
+        folded_root.alias("folded_root"),
+        (folded_root == F.col("root")).alias("verified"),
+    )
+
+
 def queries() -> dict:
     return {
         "op1_url_filter": op1_url_filter,
@@ -104,6 +124,7 @@ def queries() -> dict:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_lm_scoring": op10_lm_scoring,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 

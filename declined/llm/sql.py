@@ -220,6 +220,88 @@ QUALITY_RULES = r"""
 """
 
 
+def crc32(text: str) -> str:
+    """The unsigned checksum of an ASCII text, bit by bit."""
+    return f"""xor(4294967295::UBIGINT, list_reduce(
+        list_prepend(4294967295::UBIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::UBIGINT)),
+        lambda a, c: list_reduce(list_prepend(xor(a, c), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+                                 lambda x, z: xor(x >> 1, 3988292384::UBIGINT * (x & 1::UBIGINT)))))"""
+
+
+def merkle_levels(name: str, levels: int = 8) -> str:
+    """Tables of a tree's nodes per level, from ``{name}_0``; per leaf its siblings, and what its tampered
+    hash folds to, in ``{name}_way_{levels}``."""
+    steps = [f"{name}_way_0 AS (SELECT key, place AS leaf_place, place, tampered AS f, '' AS beside FROM {name}_leaves)"]
+    for k in range(levels):
+        steps.append(f"""
+    {name}_side_{k} AS (
+        SELECT key, place, h, count(*) OVER (PARTITION BY key) AS n,
+               coalesce(string_agg(h, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+               coalesce(string_agg(h, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+        FROM {name}_{k} WINDOW run AS (PARTITION BY key, place // 16 ORDER BY place)
+    ),
+    {name}_{k + 1} AS (
+        SELECT key, place // 16 AS place, sha256(string_agg(h, '' ORDER BY place)) AS h
+        FROM {name}_side_{k} WHERE n > 1 GROUP BY key, place // 16
+        UNION ALL SELECT key, place, h FROM {name}_side_{k} WHERE n = 1
+    ),
+    {name}_way_{k + 1} AS (
+        SELECT w.key, leaf_place, w.place // 16 AS place, beside || l || r AS beside,
+               CASE WHEN n > 1 THEN sha256(l || f || r) ELSE f END AS f
+        FROM {name}_way_{k} w JOIN {name}_side_{k} s ON w.key = s.key AND w.place = s.place
+    )""")
+    return ",\n    ".join(steps)
+
+
+def merkle_field(column: str) -> str:
+    value = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(octet_length(encode({value})) || ':' || {value}, '-')"
+
+
+def merkle_leaf(text: str) -> str:
+    fields = [*map(merkle_field, ("doc_id", "source", "lang", "n_chars")), merkle_field(text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+MERKLE_MANIFEST = f"""
+    WITH hashed AS (
+        SELECT coalesce('=' || source, '') AS key, doc_id, {merkle_leaf("text")} AS h,
+               {merkle_leaf(f"CASE WHEN {crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0"
+                            f" THEN {lower_ascii('text')} ELSE text END")} AS tampered
+        FROM documents
+    ),
+    a_leaves AS (
+        SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, h) - 1 AS place FROM hashed
+    ),
+    a_0 AS (SELECT key, place, h FROM a_leaves),
+    {merkle_levels("a")},
+    b_leaves AS (
+        SELECT '' AS key, key AS source, row_number() OVER (ORDER BY key) - 1 AS place, h, h AS tampered FROM a_8
+    ),
+    b_0 AS (SELECT key, place, h FROM b_leaves),
+    {merkle_levels("b")},
+    -- What is folded below a source's root goes on from there, by the same siblings.
+    c_leaves AS (
+        SELECT a.key || chr(0) || a.leaf_place AS key, b.place, a.f AS tampered
+        FROM a_way_8 a JOIN b_leaves b ON a.key = b.source
+    ),
+    c_way_0 AS (SELECT key, place, tampered AS f FROM c_leaves),
+    {", ".join(f"""
+    c_way_{k + 1} AS (
+        SELECT w.key, w.place // 16 AS place, CASE WHEN n > 1 THEN sha256(l || f || r) ELSE f END AS f
+        FROM c_way_{k} w JOIN b_side_{k} s ON w.place = s.place
+    )""" for k in range(8))}
+    SELECT a.doc_id, a.h AS leaf, b.h AS subroot, root.h AS root,
+           sha256(w.beside || u.beside) AS proof_sha256, c.f AS folded_root, c.f = root.h AS verified
+    FROM a_leaves a
+    JOIN a_way_8 w ON w.key = a.key AND w.leaf_place = a.place
+    JOIN b_leaves b ON b.source = a.key
+    JOIN b_way_8 u ON u.leaf_place = b.place
+    JOIN c_way_8 c ON c.key = a.key || chr(0) || a.place
+    CROSS JOIN b_8 root
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": URL_FILTER,
@@ -228,4 +310,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": DECONTAMINATION,
         "op7_jaccard_join": JACCARD_JOIN,
         "op9_quality_rules": QUALITY_RULES,
+        "op13_merkle_manifest": MERKLE_MANIFEST,
     }

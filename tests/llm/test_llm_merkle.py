@@ -1,0 +1,126 @@
+"""The Merkle manifest against trees built in plain Python."""
+
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from plain import CLASHING, hard_rows
+from pyspark.sql import functions as F
+
+from declined.llm import merkle
+from declined.llm.ordered import ranked
+
+SCHEMA = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG"
+
+
+def sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def field(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def plain_leaf(row):
+    doc_id, text, lang, source, n_chars = row
+    return sha(*map(field, (doc_id, source, lang, n_chars, text)))
+
+
+def plain_tree(nodes, fanout):
+    paths, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        runs = [nodes[i : i + fanout] for i in range(0, len(nodes), fanout)]
+        for k, i in enumerate(at):
+            run, own = runs[i // fanout], i % fanout
+            paths[k].append(("".join(run[:own]), "".join(run[own + 1 :])))
+            at[k] = i // fanout
+        nodes = [sha(*run) for run in runs]
+    return nodes[0], paths
+
+
+def plain_manifest(rows, fanout):
+    """(doc_id, leaf, subroot, root, path) of each row."""
+    by = defaultdict(list)
+    for row in rows:
+        by[b"" if row[3] is None else b"=" + row[3].encode()].append((row[0] is not None, row[0] or 0, plain_leaf(row), row[0]))
+    trees = [(sorted(by[k], key=lambda x: x[:3]), k) for k in sorted(by)]
+    built = [plain_tree([x[2] for x in leaves], fanout) for leaves, _ in trees]
+    if not built:
+        return []
+    root, above = plain_tree([subroot for subroot, _ in built], fanout)
+    return [
+        (doc_id, leaf, subroot, root, tuple(path + up))
+        for (leaves, _), (subroot, paths), up in zip(trees, built, above, strict=True)
+        for (_, _, leaf, doc_id), path in zip(leaves, paths, strict=True)
+    ]
+
+
+def found(docs, fanout, levels):
+    leaves = docs.select("doc_id", "source", merkle.leaf().alias("leaf"))
+    got = merkle.manifest(leaves, fanout, levels).collect()
+    return [(r.doc_id, r.leaf, r.subroot, r.root, tuple(map(tuple, r.path))) for r in got]
+
+
+@pytest.mark.parametrize(("fanout", "levels"), [(16, 2), (2, 1), (3, 1), (2, 2), (4, 0)])
+def test_manifest_of_hard_rows(spark, fanout, levels):
+    rows = hard_rows()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert Counter(found(docs, fanout, levels)) == Counter(plain_manifest(rows, fanout))
+
+
+@pytest.mark.parametrize("n", [1, 2, 15, 16, 17, 256, 257, 300, 1000])
+def test_one_source_of_any_size(spark, n):
+    """Blocks climb through rounds with full and with ragged subtrees; repeated rows are leaves."""
+    rows = [(i // 2, f"text {i // 2}", "en", "one" if n < 300 or i % 3 else None, i // 2) for i in range(n)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    fanout, levels = (16, 2) if n == 300 else (3, 1)
+    assert Counter(found(docs, fanout, levels)) == Counter(plain_manifest(rows, fanout))
+
+
+def test_many_sources(spark):
+    rows = [(i, "x" * (i % 5), None, f"s{i % 70}é" if i % 71 else "", None) for i in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert Counter(found(docs, 4, 1)) == Counter(plain_manifest(rows, 4))
+
+
+def test_empty_table_and_clashing_columns(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert found(docs, 16, 2) == []
+    names = ["key", "block", "blocks", "members", "hash", "n", "of", "id", "copy", "part", "at", "found", *CLASHING]
+    names = list(dict.fromkeys(names))
+    docs = spark.createDataFrame(hard_rows(), SCHEMA)
+    extra = docs.withColumns({c: F.lit(c) for c in names}).withColumn("leaf", merkle.leaf())
+    got = merkle.manifest(extra)
+    assert got.columns == [*[c for c in extra.columns if c != "root"], "subroot", "root", "path"]
+    assert got.filter(F.col("members") == "members").count() == docs.count()
+
+
+def test_a_changed_text_is_noticed_and_nothing_else(spark):
+    docs = spark.createDataFrame(hard_rows(), SCHEMA)
+    changed = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    leaves = docs.select("doc_id", "source", "text", merkle.leaf().alias("leaf"), merkle.leaf(changed).alias("tampered"))
+    folded = merkle.folded(F.col("tampered"), F.col("path"))
+    for r in merkle.manifest(leaves, 2, 1).withColumn("folded", folded).collect():
+        noticed = r.doc_id is not None and r.doc_id % 3 == 0 and r.text is not None
+        assert (r.folded != r.root) == noticed
+
+
+def test_query_proofs(spark):
+    from declined.llm.queries import queries
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted(map(tuple, docs.select("doc_id", "text", "lang", "source", "n_chars").collect()))
+    want = {i: (leaf, sub, root, sha(*[a + b for a, b in path])) for i, leaf, sub, root, path in plain_manifest(rows, 16)}
+    for r in queries()["op13_merkle_manifest"](spark, "/root/testdata/sf0.001").collect():
+        assert want[r.doc_id] == (r.leaf, r.subroot, r.root, r.proof_sha256)
+        tampered = zlib.crc32(str(r.doc_id).encode()) % 5 == 0
+        assert r.verified or tampered
+
+
+def test_ranks_run_through_a_hot_group(spark):
+    rows = spark.range(3000).selectExpr("IF(id % 3 = 0, 'b', 'a') AS g", "id % 50 AS v", "id")
+    got = ranked(rows.repartition(5), "g", ["v", "id"], "test").collect()
+    for g in "ab":
+        own = sorted((r.v, r.id, r.n, r.of) for r in got if r.g == g)
+        assert [x[2] for x in own] == list(range(len(own))) and {x[3] for x in own} == {len(own)}
