@@ -17,6 +17,7 @@ from declined.llm import (
     quality_rules,
     sharding,
     substring_dedup,
+    suffix_dedup,
     url_filter,
 )
 from declined.llm.common import lower_ascii, table
@@ -93,6 +94,19 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumn("held_out", held_out)
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without strings of 400 bytes that stand elsewhere."""
+    docs = table(spark, sf_dir, "documents")
+    left = suffix_dedup.without_repeats(docs).select(
+        "node",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("firsts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+    return docs.select("doc_id", suffix_dedup.text_node().alias("node")).join(left, "node").drop("node")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' proofs; every fifth, by its id's checksum, is verified with a changed text."""
     id_checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -124,6 +138,7 @@ def queries() -> dict:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_suffix_dedup": op11_suffix_dedup,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 

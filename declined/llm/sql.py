@@ -302,6 +302,39 @@ MERKLE_MANIFEST = f"""
 """
 
 
+SUFFIX_DEDUP = """
+    WITH texts AS (
+        SELECT row_number() OVER () AS id, doc_id, encode(coalesce(text, '')) AS t FROM documents
+    ),
+    starts AS (
+        SELECT id, t, unnest(range(1, CAST(octet_length(t) AS BIGINT) - 398)) AS p FROM texts
+    ),
+    strings AS (SELECT id, p, md5(array_slice(t, p, p + 399)) AS h FROM starts),
+    repeated AS (SELECT id, p FROM strings WHERE h IN (SELECT h FROM strings GROUP BY h HAVING count(*) > 1)),
+    stretches AS (
+        SELECT id, p, count(*) FILTER (fresh) OVER (PARTITION BY id ORDER BY p) AS stretch
+        FROM (SELECT id, p, coalesce(p > lag(p) OVER (PARTITION BY id ORDER BY p) + 400, true) AS fresh FROM repeated)
+    ),
+    gone AS (
+        SELECT id, min(p) AS first, max(p) + 399 AS last,
+               lag(max(p) + 399, 1, 0) OVER (PARTITION BY id ORDER BY stretch) AS before
+        FROM stretches GROUP BY id, stretch
+    ),
+    left_over AS (
+        SELECT id, count(*) AS n_spans, sum(last - first + 1) AS n_removed,
+               list_reduce(list(CASE WHEN first > before + 1 THEN array_slice(t, before + 1, first - 1)
+                                     ELSE ''::BLOB END ORDER BY first), lambda a, b: a || b)
+               || CASE WHEN max(last) < octet_length(any_value(t))
+                       THEN array_slice(any_value(t), max(last) + 1, octet_length(any_value(t)))
+                       ELSE ''::BLOB END AS kept
+        FROM gone JOIN texts USING (id) GROUP BY id
+    )
+    SELECT doc_id, CAST(octet_length(t) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+           coalesce(n_spans, 0) AS n_spans, sha256(coalesce(kept, t)) AS kept_sha256
+    FROM texts LEFT JOIN left_over USING (id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": URL_FILTER,
@@ -310,5 +343,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": DECONTAMINATION,
         "op7_jaccard_join": JACCARD_JOIN,
         "op9_quality_rules": QUALITY_RULES,
+        "op11_suffix_dedup": SUFFIX_DEDUP,
         "op13_merkle_manifest": MERKLE_MANIFEST,
     }
