@@ -18,6 +18,7 @@ from declined.llm import (
     sharding,
     substring_dedup,
     suffix_dedup,
+    turn_repair,
     url_filter,
 )
 from declined.llm.common import lower_ascii, table
@@ -107,6 +108,27 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", suffix_dedup.text_node().alias("node")).join(left, "node").drop("node")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows that the checksum of conversation and turn drops, empties, cuts, repeats or renames."""
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    damage = F.crc32(name.cast("binary")) % 20
+    text, role = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
+    copies = F.array_repeat(F.lit(0), F.when(damage == 3, 2).otherwise(1))
+    rows = conversations.filter(damage > 0).select(
+        "conv_id",
+        "turn",
+        F.when(damage == 4, "user").otherwise(role).alias("role"),
+        F.when(damage == 1, "").when(damage == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(copies).alias("copy"),
+    )
+    return rows.drop("copy")
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return turn_repair.repair_report(damaged(conversations), conversations.select("conv_id").distinct())
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' proofs; every fifth, by its id's checksum, is verified with a changed text."""
     id_checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -139,6 +161,7 @@ def queries() -> dict:
         "op9_quality_rules": op9_quality_rules,
         "op10_lm_scoring": op10_lm_scoring,
         "op11_suffix_dedup": op11_suffix_dedup,
+        "op12_turn_repair": op12_turn_repair,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 

@@ -335,6 +335,108 @@ SUFFIX_DEDUP = """
 """
 
 
+def turn_edits() -> str:
+    """Rows (fault, role, state, edits, cost, next state) for insertions before a row and its own edit.
+
+    A state is the last turn's initial, or empty.
+    """
+    follows = {"": "su", "s": "u", "u": "a", "a": "u"}
+    found = []
+    for fault in ("clean", "truncated", "gone"):
+        for role in ("u", "a", "s", "?"):
+            for state in ("", "s", "u", "a"):
+                for n in range(3):
+                    at = state
+                    for _ in range(n):
+                        at = "a" if at == "u" else "u"
+                    found.append((fault, role, state, "I" * n + "D", 2 * n + 3, at))
+                    late = int(fault == "truncated")
+                    if fault != "gone":
+                        found.append((fault, role, state, "I" * n + "R", 2 * n + 2 + late, "a" if at == "u" else "u"))
+                        if role in follows[at]:
+                            found.append((fault, role, state, "I" * n + "K", 2 * n + late, role))
+    return ", ".join(map(str, found))
+
+
+TURN_REPAIR = rf"""
+    WITH RECURSIVE rows AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               {crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS d
+        FROM conversations
+    ),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+               CASE WHEN d = 1 THEN '' WHEN d = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+        FROM rows, range(2) AS copies(copy) WHERE d > 0 AND (copy = 0 OR d = 3)
+    ),
+    numbered AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS n FROM damaged
+    ),
+    judged AS (
+        SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+                       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+                       WHEN regexp_matches(text, '[.!?][ 	-]*\z') THEN 'clean' ELSE 'truncated' END AS fault,
+               CASE WHEN role[1] IN ('u', 'a', 's') THEN role[1] ELSE '?' END AS initial,
+               lag(role[1]) OVER (PARTITION BY conv_id ORDER BY n) || role[1] AS neighbours
+        FROM numbered
+    ),
+    counted AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (neighbours NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS rows
+        FROM judged GROUP BY conv_id
+    ),
+    edits (fault, initial, state, edit, cost, after) AS (VALUES {turn_edits()}),
+    ways AS (
+        SELECT conv_id, 0::BIGINT AS n, '' AS state, {{'cost': 0::BIGINT, 'audit': ''}} AS way FROM counted
+        UNION ALL
+        SELECT w.conv_id, w.n + 1, e.after, min({{'cost': w.way.cost + e.cost, 'audit': w.way.audit || e.edit}})
+        FROM ways w
+        JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.n = w.n + 1
+        JOIN edits e ON e.state = w.state AND e.initial = j.initial
+             AND e.fault = CASE WHEN j.fault IN ('blank', 'duplicate') THEN 'gone' ELSE j.fault END
+        GROUP BY w.conv_id, w.n, e.after
+    ),
+    ended AS (
+        SELECT c.conv_id, min({{'cost': w.way.cost + 2 * length(e.edit), 'audit': w.way.audit || e.edit}}) AS way
+        FROM counted c
+        JOIN ways w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.n = c.rows
+        JOIN (VALUES ('', ''), ('s', 'II'), ('u', 'I'), ('a', '')) e (state, edit) ON e.state = w.state
+        GROUP BY c.conv_id
+    ),
+    letters AS (
+        SELECT conv_id, i, substr(way.audit, i, 1) AS letter
+        FROM (SELECT *, unnest(range(1, length(way.audit) + 1)) AS i FROM ended)
+    ),
+    placed AS (
+        SELECT *, count(*) FILTER (letter <> 'I') OVER upto AS n, count(*) FILTER (letter <> 'D') OVER upto AS out
+        FROM letters WINDOW upto AS (PARTITION BY conv_id ORDER BY i)
+    ),
+    left_over AS (
+        SELECT p.conv_id, p.out, p.letter, j.role, CASE WHEN p.letter = 'I' THEN '' ELSE j.text END AS text,
+               max(p.out = 1 AND p.letter = 'K' AND j.initial = 's') OVER (PARTITION BY p.conv_id) AS system
+        FROM placed p
+        JOIN judged j ON j.conv_id IS NOT DISTINCT FROM p.conv_id AND j.n = greatest(p.n, 1)
+        WHERE p.letter <> 'D'
+    ),
+    hashed AS (
+        SELECT conv_id, sha256(string_agg(
+                   CASE WHEN letter = 'K' THEN role WHEN (out - CAST(system AS BIGINT)) % 2 = 1 THEN 'user'
+                        ELSE 'assistant' END || ':' || text, chr(10) ORDER BY out)) AS sha
+        FROM left_over GROUP BY conv_id
+    ),
+    ids AS (SELECT DISTINCT conv_id FROM conversations)
+    SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e.way.cost, 0) AS cost,
+           coalesce(e.way.audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+    FROM ids i
+    LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+    LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM i.conv_id
+    LEFT JOIN hashed h ON h.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": URL_FILTER,
@@ -344,5 +446,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_jaccard_join": JACCARD_JOIN,
         "op9_quality_rules": QUALITY_RULES,
         "op11_suffix_dedup": SUFFIX_DEDUP,
+        "op12_turn_repair": TURN_REPAIR,
         "op13_merkle_manifest": MERKLE_MANIFEST,
     }

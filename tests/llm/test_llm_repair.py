@@ -1,0 +1,187 @@
+"""Repairs of conversations against a search through all edits, and Re-Pair against the words it shortens."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from plain import CLASHING
+from pyspark.sql import functions as F
+
+from declined.llm import turn_repair
+from declined.llm.queries import damaged
+
+SCHEMA = "conv_id LONG, turn LONG, role STRING, text STRING"
+BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def plain_order(rows):
+    rows = [(turn, " " if role is None else role, " " if text is None else text) for turn, role, text in rows]
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.md5(r[2].encode()).hexdigest()))
+
+
+def plain_faults(rows):
+    seen, found = set(), []
+    for _, role, text in rows:
+        ends = text.strip(BLANK)[-1:]
+        found.append("blank" if not ends else "duplicate" if (role, text) in seen else "" if ends in ".!?" else "truncated")
+        seen.add((role, text))
+    return found
+
+
+def plain_search(rows, faults):
+    """The cheapest edits by going through states of output, one row and one edit at a time."""
+    best = {"": (0, "", ())}
+
+    def add(to, at, way):
+        if at not in to or way[:2] < to[at][:2]:
+            to[at] = way
+
+    def inserted(ways):
+        ways = dict(ways)
+        for _ in range(3):
+            for at, (cost, edits, out) in list(ways.items()):
+                role = "assistant" if at == "u" else "user"
+                add(ways, role[0], (cost + 2, edits + "I", (*out, f"{role}:")))
+        return ways
+
+    for (_, role, text), fault in zip(rows, faults, strict=True):
+        after = {}
+        for at, (cost, edits, out) in inserted(best).items():
+            add(after, at, (cost + 3, edits + "D", out))
+            if fault in ("blank", "duplicate"):
+                continue
+            late = fault == "truncated"
+            if role and role[0] in {"": "su", "s": "u", "u": "a", "a": "u"}[at]:
+                add(after, role[0], (cost + late, edits + "K", (*out, f"{role}:{text}")))
+            name = "assistant" if at == "u" else "user"
+            add(after, name[0], (cost + 2 + late, edits + "R", (*out, f"{name}:{text}")))
+        best = after
+    return min(way for at, way in inserted(best).items() if at in ("", "a"))
+
+
+def plain_report(rows):
+    whole = defaultdict(list)
+    for conv_id, *row in rows:
+        whole[conv_id].append(tuple(row))
+    found = {}
+    for conv_id, own in whole.items():
+        own = plain_order(own)
+        faults = plain_faults(own)
+        turns = [t for t, _, _ in own if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        pairs = [a[1][:1] + b[1][:1] for a, b in zip(own, own[1:])]  # noqa: B905
+        cost, audit, out = plain_search(own, faults)
+        n = Counter(faults)
+        sha = hashlib.sha256("\n".join(out).encode()).hexdigest()
+        illegal = sum(p not in ("su", "ua", "au") for p in pairs)
+        found[conv_id] = (gaps, n["blank"], n["duplicate"], n["truncated"], illegal, cost, audit, sha)
+    return found
+
+
+def report(spark, rows, **sizes):
+    conversations = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    return {r[0]: tuple(r)[1:] for r in turn_repair.repair_report(conversations, conversations.select("conv_id").distinct()).collect()}
+
+
+def random_rows(seed, conversations, most):
+    rng = random.Random(seed)
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "", None]
+    texts = ["Yes.", "No!", "Why?", "cut off", "", " \n", None, "done.\t", "x", "É.", "a.b"]
+    return [
+        (c, None if rng.random() < 0.05 else t + (rng.random() < 0.1), rng.choice(roles), rng.choice(texts) if rng.random() < 0.6 else f"{rng.random()}.")
+        for c in range(conversations)
+        for t in range(rng.randrange(1, most))
+    ]
+
+
+def test_random_conversations(spark):
+    rows = random_rows(1, 150, 9) + [(None, t, "user", f"{t}.") for t in range(3)]
+    assert report(spark, rows) == plain_report(rows)
+
+
+def test_long_conversations_are_cut_into_words(spark, monkeypatch):
+    rows = [(c, t, r, x) for c, t, r, x in random_rows(2, 3, 400)]
+    rows += [(9, t, "ua"[t % 2] + "x", "Same.") for t in range(500)] + [(10, 1, "user", "Same.")] * 300
+    conversations = spark.createDataFrame(rows, SCHEMA)
+    want = plain_report(rows)
+    for sizes in ({"rows_per_word": 7}, {"rows_per_word": 50, "most_rounds": 0}, {"pairs_a_round": 3, "most_rounds": 4}):
+        got = {r.key: r for r in turn_repair.audits(conversations, **sizes).collect()}
+        for conv_id, (_, *counts, audit, _) in want.items():
+            r = got[f"={conv_id}"]
+            assert [r.blank, r.duplicate, r.truncated, r.illegal, r.cost] == counts and r.audit == audit
+
+
+def test_query_takes_hard_rows(spark, tmp_path):
+    from declined.llm.queries import queries
+
+    rows = [(c, t, r, x) for c, t, r, x in random_rows(3, 60, 12)] + [(None, None, None, None), (7, 99, "user", None)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    conversations = spark.read.parquet(f"{tmp_path}/conversations.parquet")
+    after = [tuple(r) for r in damaged(conversations).select("conv_id", "turn", "role", "text").collect()]
+    want = plain_report(after)
+    got = queries()["op12_turn_repair"](spark, str(tmp_path)).collect()
+    assert sorted(map(str, (r.conv_id for r in got))) == sorted({str(r[0]) for r in rows})
+    for r in got:
+        nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+        assert tuple(r)[1:] == want.get(r.conv_id, nothing)
+
+
+def test_damage_by_checksum(spark):
+    import zlib
+
+    rows = [(c, t, "assistant", "One. Two!") for c in range(40) for t in range(5)]
+    got = Counter(tuple(r) for r in damaged(spark.createDataFrame(rows, SCHEMA)).select("conv_id", "turn", "role", "text").collect())
+    want = Counter()
+    for c, t, role, text in rows:
+        k = zlib.crc32(f"{c}:{t}".encode()) % 20
+        text = {1: "", 2: "One Two"}.get(k, text)
+        want[c, t, "user" if k == 4 else role, text] += {0: 0, 3: 2}.get(k, 1)
+    assert got == +want
+
+
+def test_repaired_turns_are_what_is_hashed(spark):
+    rows = random_rows(4, 60, 10)
+    conversations = spark.createDataFrame(rows, SCHEMA)
+    hashes = {r[0]: r[-1] for r in turn_repair.repair_report(conversations, conversations.select("conv_id").distinct()).collect()}
+    whole = defaultdict(list)
+    for r in sorted(turn_repair.repaired_turns(conversations).collect(), key=lambda r: (r.conv_id, r.place)):
+        assert r.place == len(whole[r.conv_id])
+        whole[r.conv_id].append(f"{r.role}:{r.text}")
+    for conv_id, sha in hashes.items():
+        assert re.fullmatch("(s?(ua)+)?", "".join(x[0] for x in whole[conv_id]))
+        assert hashlib.sha256("\n".join(whole[conv_id]).encode()).hexdigest() == sha
+
+
+def test_empty_table_and_clashing_columns(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert turn_repair.repair_report(none, none.select("conv_id")).count() == 0
+    rows = random_rows(5, 20, 6)
+    names = ["key", "kind", "word", "letter", "digest", "row", "cut", "again", "first", "part", "at", *CLASHING]
+    extra = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(c) for c in names if c != "text"})
+    got = turn_repair.repair_report(extra, extra.select("conv_id").distinct())
+    assert {r[0]: tuple(r)[1:] for r in got.collect()} == plain_report(rows)
+
+
+def test_rules_spell_their_words(spark):
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choice("abcd") for _ in range(rng.randrange(1, 40))) for _ in range(200)} | {"aaaaaaaaa", "p"})
+    short, rules = turn_repair.re_pair(spark.createDataFrame([(w,) for w in words], "word STRING"), 16, 6)
+    spelled = {}
+    for pair, symbol in rules:
+        spelled[symbol] = "".join(spelled.get(c, c) for c in pair)
+    got = {r.word: r.short for r in short.collect()}
+    assert sorted(got) == words and all("".join(spelled.get(c, c) for c in got[w]) == w for w in words)
+    assert sum(map(len, got.values())) < sum(map(len, words)) / 2
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_ropes_compare_as_their_texts(seed):
+    rng = random.Random(seed)
+    ropes = [turn_repair.Rope(rng.choice(["D", "K", "R", "IK", "IID"])) for _ in range(10)]
+    for _ in range(200):
+        ropes.append(rng.choice(ropes) + rng.choice(ropes))
+    for _ in range(500):
+        x, y = rng.choice(ropes), rng.choice(ropes)
+        assert (x < y) == (x.text() < y.text()) and (x.size, (x + y).text()) == (len(x.text()), x.text() + y.text())
