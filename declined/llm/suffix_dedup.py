@@ -14,9 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import partial
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -125,13 +127,19 @@ def places_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return sums[1:] - np.repeat(sums[upto[:-1]], counts), counts
 
 
-PLACED = "bucket INT, nodes BINARY, counts BINARY, places BINARY, keys BINARY"
+PLACED = "hand LONG, bucket INT, nodes BINARY, counts BINARY, places BINARY, keys BINARY"
+
+
+def _hands() -> Iterator[int]:
+    """Numbers for what a task passes on, the same ones when it is repeated."""
+    first = TaskContext.get().partitionId() << 32
+    return count(first)
 
 
 def _placed(
-    node: np.ndarray, of: np.ndarray, at: np.ndarray, key: np.ndarray, n_buckets: int, key_bytes: int
+    hand: int, node: np.ndarray, of: np.ndarray, at: np.ndarray, key: np.ndarray, n_buckets: int, key_bytes: int
 ) -> pa.RecordBatch:
-    """Per bucket the places ``at`` of the texts ``of``, and the fingerprints there.
+    """Per bucket the places ``at`` of the texts ``of``, and the fingerprints there; ``hand`` numbers them all.
 
     Of a fingerprint that comes several times among them two places stand for all, which are known to
     repeat: they go along without a fingerprint, to be passed on.  So however often a string
@@ -147,7 +155,7 @@ def _placed(
     third[order] = before & np.concatenate(([False], before[:-1]))
     top = key >> np.uint64(max(0, 8 * key_bytes - 32))
     bucket = ((top * np.uint64(n_buckets)) >> np.uint64(min(32, 8 * key_bytes))).astype(np.int64)
-    sent = [(np.flatnonzero(~third), bucket, True), (np.flatnonzero(again), node[of].view(np.uint64) % np.uint64(n_buckets), False)]
+    sent = [(np.flatnonzero(~third), bucket, True), (np.flatnonzero(again), np.full(len(at), hand % n_buckets), False)]
     rows = []
     for chosen, to, keyed in sent:
         chosen = chosen[np.argsort(to[chosen], kind="stable")]
@@ -162,9 +170,9 @@ def _placed(
         for a, b in zip(cut, np.append(cut[1:], len(chosen)), strict=True):
             first = np.flatnonzero(fresh[a:b])
             counts, _ = short(np.diff(np.append(first, b - a)))
-            rows.append((int(to[a]), node[ref[a:b][first]].tobytes(), counts.tobytes(), places[ends[a] : ends[b]].tobytes(),
+            rows.append((hand, int(to[a]), node[ref[a:b][first]].tobytes(), counts.tobytes(), places[ends[a] : ends[b]].tobytes(),
                          keys[a:b].tobytes() if keyed else None))
-    kinds = [pa.int32()] + [pa.binary()] * 4
+    kinds = [pa.int64(), pa.int32()] + [pa.binary()] * 4
     arrays = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
     return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in PLACED.split(", ")])
 
@@ -176,6 +184,7 @@ def _cover_places(
     period, residues = difference_cover(length)
     width = length - period + 1
     known: set[int] = set()
+    hands = _hands()
     for batch in batches:
         node = batch.column("node").to_numpy()
         data, offsets = bytes_of(batch.column("text"))
@@ -200,7 +209,7 @@ def _cover_places(
             at = cover[runs(first, own)]
             of = np.repeat(rows, own)
             key = fingerprints(data, offsets[of] + at, width)
-            yield _placed(node, of, at, key, n_buckets, key_bytes)
+            yield _placed(next(hands), node, of, at, key, n_buckets, key_bytes)
 
 
 def _suspect_places(
@@ -208,6 +217,7 @@ def _suspect_places(
 ) -> Iterator[pa.RecordBatch]:
     """The starts that have a ranked place of the cover within a period, with fingerprints of ``length`` bytes."""
     period, _ = difference_cover(length)
+    hands = _hands()
     for batch in batches:
         node = batch.column("node").to_numpy()
         data, offsets = bytes_of(batch.column("text"))
@@ -226,10 +236,10 @@ def _suspect_places(
             starts, of_start = runs(first[a:b], sizes[a:b]), np.repeat(of[a:b], sizes[a:b])
             if len(starts):
                 key = fingerprints(data, starts, length)
-                yield _placed(node, of_start, starts - offsets[of_start], key, n_buckets, 8)
+                yield _placed(next(hands), node, of_start, starts - offsets[of_start], key, n_buckets, 8)
 
 
-REPEATED = "node LONG, places BINARY, n LONG"
+REPEATED = "hand LONG, nodes BINARY, counts BINARY, places BINARY, n LONG"
 
 
 def repeated(key_bytes: int) -> Callable[[pa.Table], pa.Table]:
@@ -240,38 +250,28 @@ def repeated(key_bytes: int) -> Callable[[pa.Table], pa.Table]:
 
 
 def _repeated(table: pa.Table, key_bytes: int) -> pa.Table:
-    """One bucket: sorts its places by fingerprint and keeps those whose fingerprint another place has."""
-    keys, nodes, counts, places, columns = [], [], [], [], []
-
-    def passed_on(node: np.ndarray, count: np.ndarray, at: np.ndarray) -> None:
-        fresh = np.zeros(len(at), bool)
-        has = count > 0
-        first = (np.cumsum(count) - count)[has]
-        fresh[first] = True
-        data, sizes = short(steps_of(at, fresh))
-        size = np.add.reduceat(sizes, first) if len(first) else np.zeros(0, np.int64)
-        columns.append((pa.array(node[has]), binaries(data, size), pa.array(count[has])))
-
-    for row in table.to_batches():
-        for node, count, at, key in zip(*(row.column(c) for c in ("nodes", "counts", "places", "keys")), strict=True):
-            node = np.frombuffer(node.as_buffer(), np.int64)
-            count = unshort(np.frombuffer(count.as_buffer(), np.uint8))
-            steps = unshort(np.frombuffer(at.as_buffer(), np.uint8))
-            sums = np.concatenate(([0], np.cumsum(steps)))
-            end = np.cumsum(count)
-            at = sums[1:] - np.repeat(sums[end - count], count)
-            if key.as_py() is None:
-                passed_on(node, count, at)
-                continue
-            whole = np.zeros((len(at), 8), np.uint8)
-            whole[:, :key_bytes] = np.frombuffer(key.as_buffer(), np.uint8).reshape(-1, key_bytes)
-            keys.append(whole.view(np.uint64).ravel())
-            nodes.append(node)
-            counts.append(count)
-            places.append(at)
+    """One bucket: sorts its places by fingerprint and keeps those whose fingerprint another place has.
+
+    They go back to the hands that they came from.
+    """
+    keys, nodes, counts, places, hands, rows = [], [], [], [], [], []
+    for hand, *row in zip(*(table.column(c) for c in ("hand", "nodes", "counts", "places", "keys")), strict=True):
+        node, many, at, key = (x.as_py() for x in row)
+        if key is None:
+            rows.append((hand.as_py(), node, many, at, int((np.frombuffer(at, np.uint8) < 128).sum())))
+            continue
+        whole = np.zeros((len(key) // key_bytes, 8), np.uint8)
+        whole[:, :key_bytes] = np.frombuffer(key, np.uint8).reshape(-1, key_bytes)
+        keys.append(whole.view(np.uint64).ravel())
+        nodes.append(np.frombuffer(node, np.int64))
+        counts.append(unshort(np.frombuffer(many, np.uint8)))
+        places.append(rising(np.frombuffer(at, np.uint8), counts[-1]))
+        hands.append(hand.as_py())
     if keys:
-        key, node, count, at = map(np.concatenate, (keys, nodes, counts, places))
+        sizes = list(map(len, keys))
+        key, node, at = map(np.concatenate, (keys, nodes, places))
         keys.clear()
+        of = np.repeat(np.arange(len(node)), np.concatenate(counts))
         order = np.argsort(key)
         key = key[order]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
@@ -279,16 +279,54 @@ def _repeated(table: pa.Table, key_bytes: int) -> pa.Table:
         several = np.repeat(size > 1, size)
         order, lead = order[several], np.repeat(order[first], size)[several]
         # Tasks that each saw one copy of a text name the same place twice.
-        of = np.repeat(np.arange(len(node)), count)
         other = (node[of[order]] != node[of[lead]]) | (at[order] != at[lead])
         size = size[size > 1]
         kept = np.zeros(len(at), bool)
         if len(size):
             kept[order] = np.repeat(np.logical_or.reduceat(other, np.cumsum(size) - size), size)
-        passed_on(node, np.bincount(of[kept], minlength=len(node)), at[kept])
-    if not columns:
-        columns.append((pa.array([], pa.int64()), pa.array([], pa.binary()), pa.array([], pa.int64())))
-    return pa.table([pa.chunked_array(c) for c in zip(*columns, strict=True)], ["node", "places", "n"])
+        for hand, low, n in zip(hands, np.cumsum(sizes) - sizes, sizes, strict=True):
+            own = np.flatnonzero(kept[low : low + n]) + low
+            if len(own):
+                rows.append((hand, *listed(node, of[own], at[own]), len(own)))
+    kinds = [pa.int64(), *[pa.binary()] * 3, pa.int64()]
+    arrays = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+    return pa.table(arrays, [c.split()[0] for c in REPEATED.split(", ")])
+
+
+def rising(data: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places of several texts, of which the first ones are given as they are and others by their steps."""
+    sums = np.concatenate(([0], np.cumsum(unshort(data))))
+    end = np.cumsum(counts)
+    return sums[1:] - np.repeat(sums[end - counts], counts)
+
+
+def listed(node: np.ndarray, of: np.ndarray, at: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Texts, how many places each has, and the places."""
+    fresh = np.concatenate(([True], of[1:] != of[:-1]))
+    first = np.flatnonzero(fresh)
+    counts, _ = short(np.diff(np.append(first, len(of))))
+    places, _ = short(steps_of(at, fresh))
+    return node[of[first]].tobytes(), counts.tobytes(), places.tobytes()
+
+
+GATHERED = "node LONG, places BINARY"
+
+
+def gathered(table: pa.Table) -> pa.Table:
+    """What came back to one hand from all buckets: a row for each text."""
+    nodes, places = [], []
+    for row in zip(*(table.column(c) for c in ("nodes", "counts", "places")), strict=True):
+        node, counts, at = (np.frombuffer(x.as_py(), kind) for x, kind in zip(row, (np.int64, np.uint8, np.uint8), strict=True))
+        counts = unshort(counts)
+        nodes.append(np.repeat(node, counts))
+        places.append(rising(at, counts))
+    node, at = np.concatenate(nodes), np.concatenate(places)
+    order = np.lexsort((at, node))
+    node, at = node[order], at[order]
+    fresh = np.concatenate(([True], node[1:] != node[:-1]))
+    data, sizes = short(steps_of(at, fresh))
+    first = np.flatnonzero(fresh)
+    return pa.table([pa.array(node[first]), binaries(data, np.add.reduceat(sizes, first))], ["node", "places"])
 
 
 REMAINING = "node LONG, n_bytes LONG, firsts ARRAY<LONG>, ends ARRAY<LONG>, kept BINARY"
@@ -353,15 +391,19 @@ def without_repeats(
     n_buckets = n_ranked * period * 3 // (2 * len(residues)) // places_per_bucket + 1
     # One exchange of the texts serves both joins.
     texts = docs.groupBy("node").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    gathered = ranked.groupBy("node").agg(F.collect_list("places").alias("places"))
-    suspects = texts.join(gathered, "node").select("node", "text", "copies", "places")
+    suspects = texts.join(by_text(ranked), "node").select("node", "text", "copies", "places")
     suspecting = partial(_suspect_places, length=length, n_buckets=n_buckets, held=places_held)
     placed = suspects.mapInArrow(suspecting, PLACED)
-    starts = placed.groupBy("bucket").applyInArrow(repeated(8), REPEATED)
-    starts = starts.groupBy("node").agg(F.collect_list("places").alias("places"))
+    starts = by_text(placed.groupBy("bucket").applyInArrow(repeated(8), REPEATED))
     both = texts.join(starts, "node", "left").select("node", "text", "copies", "places")
     return both.mapInArrow(partial(_remaining, length=length), REMAINING)
 
 
+def by_text(found: DataFrame) -> DataFrame:
+    """Per text the lists of its places; a long text was in several hands, or several tasks' ones."""
+    rows = found.groupBy("hand").applyInArrow(gathered, GATHERED)
+    return rows.groupBy("node").agg(F.collect_list("places").alias("places"))
+
+
 def text_node() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))

@@ -93,7 +93,7 @@ def test_a_string_that_repeats_in_a_text_is_sent_twice():
     node = np.arange(3, dtype=np.int64)
     of, at = np.repeat(np.arange(3), 1000), np.tile(np.arange(1000), 3)
     key = np.where(at % 7 == 0, np.uint64(5 << 40), suffix_dedup.mixed((of * 1000 + at).astype(np.uint64)))
-    batch = suffix_dedup._placed(node, of, at, key, 4, 8)
+    batch = suffix_dedup._placed(7, node, of, at, key, 4, 8)
     sent = sum(len(x) // 8 for x in batch.column("keys").to_pylist() if x is not None)
     assert sent == np.count_nonzero(at % 7) + 2
 
