@@ -95,17 +95,33 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumn("held_out", held_out)
 
 
-def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of each document without strings of 400 bytes that stand elsewhere."""
-    docs = table(spark, sf_dir, "documents")
-    left = suffix_dedup.without_repeats(docs).select(
+def left_over(docs: DataFrame, **sizes: int) -> DataFrame:
+    """Per document how much of it goes, in how many stretches, and a hash of the rest."""
+    left = suffix_dedup.repeats(docs, **sizes).select(
         "node",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("gone"),
+        F.size("firsts").cast("long").alias("stretches"),
+        F.sha2("kept", 256).alias("digest"),
+    )
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    rows = docs.select(
+        "doc_id",
+        suffix_dedup.text_node().alias("node"),
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        F.sha2(text, 256).alias("whole"),
+    )
+    return rows.join(left, "node", "left").select(
+        "doc_id",
         "n_bytes",
-        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
-        F.size("firsts").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"),
+        F.coalesce("gone", F.lit(0).cast("long")).alias("n_removed"),
+        F.coalesce("stretches", F.lit(0).cast("long")).alias("n_spans"),
+        F.coalesce("digest", "whole").alias("kept_sha256"),
     )
-    return docs.select("doc_id", suffix_dedup.text_node().alias("node")).join(left, "node").drop("node")
+
+
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without strings of 400 bytes that stand elsewhere."""
+    return left_over(table(spark, sf_dir, "documents"), length=400)
 
 
 def damaged(conversations: DataFrame) -> DataFrame:

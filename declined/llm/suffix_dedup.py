@@ -333,21 +333,15 @@ REMAINING = "node LONG, n_bytes LONG, firsts ARRAY<LONG>, ends ARRAY<LONG>, kept
 
 
 def _remaining(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """The bytes of each text that no repeated start covers, and the stretches that one does."""
+    """The stretches of each text that a repeated start covers, and the bytes that none does."""
     for batch in batches:
         data, offsets = bytes_of(batch.column("text"))
-        copies = batch.column("copies").to_pylist()
         firsts, ends, kept = [], [], []
         for i, value in enumerate(batch.column("places")):
-            size = int(offsets[i + 1] - offsets[i])
-            first, end = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            if copies[i] > 1 and size >= length:
-                first, end = np.zeros(1, np.int64), np.full(1, size)
-            elif value.is_valid:
-                at = np.unique(places_of(value.values)[0])
-                apart = at[1:] > at[:-1] + length
-                first, end = at[np.append(True, apart)], at[np.append(apart, True)] + length
-            edges = np.concatenate(([0], end)), np.concatenate((first, [size]))
+            at = np.unique(places_of(value.values)[0])
+            apart = at[1:] > at[:-1] + length
+            first, end = at[np.append(True, apart)], at[np.append(apart, True)] + length
+            edges = np.append(0, end), np.append(first, offsets[i + 1] - offsets[i])
             own = data[offsets[i] : offsets[i + 1]]
             kept.append(b"".join(own[a:b].tobytes() for a, b in zip(*edges, strict=True)))
             firsts.append(first)
@@ -359,23 +353,30 @@ def _remaining(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
         )
 
 
-def without_repeats(
-    docs: DataFrame, length: int = 400, places_per_bucket: int = 4_000_000, places_held: int = 2_000_000
+def repeats(
+    docs: DataFrame,
+    length: int = 400,
+    places_per_bucket: int = 4_000_000,
+    places_held: int = 2_000_000,
+    most_bytes: int = 32_000_000,
 ) -> DataFrame:
-    """Per distinct text: ``node``, ``n_bytes``, ``firsts`` and ``ends`` of what goes, and ``kept``, the bytes left.
+    """Per distinct text that loses bytes: ``node``, ``n_bytes``, ``firsts`` and ``ends`` of what goes, ``kept``.
 
     A byte goes if a string of ``length`` bytes that covers it also starts anywhere else in ``docs``, in
     another text or in the same one, overlapping or not.  Texts count as UTF-8 bytes, NULL as an empty one;
-    strings end where their text ends.  ``node`` is a hash of the text, by which ``docs`` find it
-    (``text_node``).  A text that stands in several rows goes whole, if it has ``length`` bytes.
-
-    Shuffled are: the cover's places with a few bytes of fingerprint; of texts with a ranked place, the starts
-    near one, with 64 bits; and each distinct text, once.  A string that repeats many times in what
-    a task holds is sent twice, so no bucket grows with a string's frequency in one text.
-    A task holds about ``places_held`` places and the texts of a batch of rows.
-    Extra columns are ignored; empty and short texts keep all they have.
+    strings end where their text ends.  ``kept`` are the bytes left.  ``node`` is a hash of the text, by which
+    ``docs`` find it (``text_node``); texts that are not returned lose nothing.  A text that stands in
+    several rows goes whole, if it has ``length`` bytes.
+
+    Shuffled are: the cover's places with a few bytes of fingerprint; the starts near a ranked place, with
+    64 bits; and each distinct text that has one, once.  Where hashes of these texts measure at most
+    ``most_bytes`` they are broadcast, and the other texts stay where they are; beyond, all texts are shuffled
+    by that join.  A string that repeats many times in what a task holds is sent twice, so no bucket
+    grows with a string's frequency in one text.  A task holds about ``places_held`` places and the texts
+    of a batch of rows.  Extra columns are ignored.
     """
-    docs = for_tasks(docs).select(text_node().alias("node"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    docs = for_tasks(docs).select(text_node().alias("node"), text.cast("binary").alias("text"))
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     period, residues = difference_cover(length)
     n_cover = n_bytes * len(residues) // period
@@ -384,19 +385,33 @@ def without_repeats(
     key_bytes = min(8, max(5, -(-(n_cover.bit_length() + 14) // 8)))
     covering = partial(_cover_places, length=length, n_buckets=n_buckets, key_bytes=key_bytes, held=places_held)
     placed = docs.mapInArrow(covering, PLACED)
-    ranked = placed.groupBy("bucket").applyInArrow(repeated(key_bytes), REPEATED)
-    ranked = written(ranked, "ranked")
+    ranked = written(placed.groupBy("bucket").applyInArrow(repeated(key_bytes), REPEATED), "ranked")
 
     n_ranked = ranked.agg(F.sum("n")).first()[0] or 0
     n_buckets = n_ranked * period * 3 // (2 * len(residues)) // places_per_bucket + 1
+    ranked = written(by_text(ranked), "ranked-texts")
+    wanted = ranked.select("node")
+    if wanted.count() * 100 <= most_bytes:
+        wanted = F.broadcast(wanted)
     # One exchange of the texts serves both joins.
-    texts = docs.groupBy("node").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    suspects = texts.join(by_text(ranked), "node").select("node", "text", "copies", "places")
+    texts = docs.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     suspecting = partial(_suspect_places, length=length, n_buckets=n_buckets, held=places_held)
-    placed = suspects.mapInArrow(suspecting, PLACED)
+    placed = texts.join(ranked, "node").select("node", "text", "places").mapInArrow(suspecting, PLACED)
     starts = by_text(placed.groupBy("bucket").applyInArrow(repeated(8), REPEATED))
-    both = texts.join(starts, "node", "left").select("node", "text", "copies", "places")
-    return both.mapInArrow(partial(_remaining, length=length), REMAINING)
+    left = texts.join(starts, "node").select("node", "text", "places")
+    left = left.mapInArrow(partial(_remaining, length=length), REMAINING)
+
+    size = F.octet_length("text").cast("long").alias("n_bytes")
+    copied = docs.select("node", size).filter(F.col("n_bytes") >= length)
+    copied = copied.groupBy("node", "n_bytes").count().filter("count > 1").select(
+        "node",
+        "n_bytes",
+        F.array(F.lit(0).cast("long")).alias("firsts"),
+        F.array("n_bytes").alias("ends"),
+        F.lit("").cast("binary").alias("kept"),
+    )
+    copied = written(copied, "copied")
+    return left.join(copied, "node", "left_anti").unionByName(copied)
 
 
 def by_text(found: DataFrame) -> DataFrame:

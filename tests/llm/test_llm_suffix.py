@@ -10,8 +10,9 @@ from plain import CLASHING, hard_rows
 from pyspark.sql import functions as F
 
 from declined.llm import suffix_dedup
+from declined.llm.queries import left_over
 
-SCHEMA = "id LONG, text STRING"
+SCHEMA = "doc_id LONG, text STRING"
 
 
 def plain_left(texts, length):
@@ -32,12 +33,7 @@ def plain_left(texts, length):
 
 def left(spark, texts, length, parts=4, **sizes):
     docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(parts)
-    digests = suffix_dedup.without_repeats(docs, length, **sizes).select(
-        "node", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
-        F.size("firsts").alias("n_spans"), F.sha2("kept", 256).alias("sha"),
-    )
-    rows = docs.select("id", suffix_dedup.text_node().alias("node")).join(digests, "node").drop("node")
-    return [tuple(r)[1:] for r in sorted(rows.collect())]
+    return [tuple(r)[1:] for r in sorted(left_over(docs, length=length, **sizes).collect())]
 
 
 def edges():
@@ -58,7 +54,7 @@ def test_the_cover_has_every_difference(length):
 
 
 @pytest.mark.parametrize("length", [400, 60, 30, 7])
-@pytest.mark.parametrize("sizes", [{}, {"places_held": 300, "places_per_bucket": 2000}])
+@pytest.mark.parametrize("sizes", [{}, {"places_held": 300, "places_per_bucket": 2000, "most_bytes": 0}])
 def test_edges_of_passages(spark, length, sizes):
     texts = edges()
     assert left(spark, texts, length, **sizes) == plain_left(texts, length)
@@ -100,10 +96,10 @@ def test_a_string_that_repeats_in_a_text_is_sent_twice():
 
 def test_empty_table_and_clashing_columns(spark):
     docs = spark.createDataFrame([], SCHEMA)
-    assert suffix_dedup.without_repeats(docs).count() == 0
+    assert left_over(docs, length=400).count() == 0
     extra = spark.createDataFrame(list(enumerate(edges())), SCHEMA)
-    extra = extra.withColumns({c: F.lit(c) for c in ["places", "copies", "keys", "counts", *CLASHING]})
-    assert suffix_dedup.without_repeats(extra).count() == len({t or "" for t in edges()})
+    extra = extra.withColumns({c: F.lit(c) for c in ["places", "hand", "keys", "counts", "gone", *CLASHING]})
+    assert [tuple(r)[1:] for r in sorted(left_over(extra, length=60).collect())] == plain_left(edges(), 60)
 
 
 def test_numbers_of_seven_bits_a_byte_come_back():
@@ -115,6 +111,9 @@ def test_numbers_of_seven_bits_a_byte_come_back():
 def test_kept_bytes_are_what_stretches_leave(spark):
     docs = spark.createDataFrame(list(enumerate(edges())), SCHEMA)
     texts = {r.node: (r.text or "").encode() for r in docs.select(suffix_dedup.text_node().alias("node"), "text").collect()}
-    for r in suffix_dedup.without_repeats(docs, 60).collect():
+    found = suffix_dedup.repeats(docs, 60).collect()
+    assert len({r.node for r in found}) == len(found) > 5
+    for r in found:
         gone = {i for a, b in zip(r.firsts, r.ends, strict=True) for i in range(a, b)}
+        assert gone and r.n_bytes == len(texts[r.node])
         assert bytes(r.kept) == bytes(b for i, b in enumerate(texts[r.node]) if i not in gone)
