@@ -97,15 +97,14 @@ LINE_DEDUP = r"""
                               '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line
         FROM documents
     ),
-    short AS (
-        SELECT DISTINCT doc_id, source, line FROM split
-        WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) BETWEEN 3 AND 20
+    whole AS (
+        SELECT DISTINCT doc_id, source, line FROM split WHERE line <> ''
     ),
     boilerplate AS (
-        SELECT line, min(doc_id) AS first_id FROM short GROUP BY line HAVING count(DISTINCT source) >= 8
+        SELECT line, min(doc_id) AS first_id FROM whole GROUP BY line HAVING count(DISTINCT source) >= 8
     ),
     removed AS (
-        SELECT doc_id, list(line) AS removed FROM short JOIN boilerplate USING (line)
+        SELECT doc_id, list(line) AS removed FROM whole JOIN boilerplate USING (line)
         WHERE doc_id <> first_id GROUP BY doc_id
     ),
     kept AS (
@@ -373,9 +372,11 @@ TURN_REPAIR = rf"""
         SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS n FROM damaged
     ),
     judged AS (
-        SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+        SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
                        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
-                       WHEN regexp_matches(text, '[.!?][ 	-]*\z') THEN 'clean' ELSE 'truncated' END AS fault,
+                       WHEN regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'clean' ELSE 'truncated' END AS fault,
                CASE WHEN role[1] IN ('u', 'a', 's') THEN role[1] ELSE '?' END AS initial,
                lag(role[1]) OVER (PARTITION BY conv_id ORDER BY n) || role[1] AS neighbours
         FROM numbered
