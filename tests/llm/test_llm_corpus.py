@@ -1,10 +1,12 @@
 """Operators that look across documents: lines, benchmark windows, near-duplicates, passages."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -42,7 +44,7 @@ def test_components_of_a_chain_a_star_and_a_ring(spark):
 # Lines ---------------------------------------------------------------------------------------
 
 
-def plain_line_dedup(rows, min_sites, low=3, high=20):
+def plain_line_dedup(rows, min_sites, low=1, high=1 << 60):
     edge = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
     trim = lambda x: re.sub(edge, "", x)
     sites, first = defaultdict(set), {}
@@ -63,19 +65,42 @@ def plain_line_dedup(rows, min_sites, low=3, high=20):
 def line_rows():
     rows = hard_rows()
     for k in range(40):
-        text = f"{prose(k, 30)}\n  on every page here \nonly on some\t\n{prose(k + 99, 25)}\nok ok"
+        text = f"{prose(k, 30)}\n  on every page here \nonly on some\t\n{prose(k + 99, 25)}\nok ok\n\v\f word\r"
+        text += f"\n{prose(50, 60) if k % 2 else prose(51, 300)}\n \n{prose(k % 5, 21)}"
         rows.append(doc(100 + k, text, f"site{k % 12}" if k % 3 else f"site{k % 4}"))
     rows.append(doc(None, "on every page here\nand more text", "site1"))
     return rows
 
 
-@pytest.mark.parametrize("min_sites", [2, 8, 9, 10, 12, 13])
-def test_line_dedup(spark, min_sites):
+@pytest.mark.parametrize("most_bytes", [32_000_000, 0])
+@pytest.mark.parametrize("min_sites", [2, 8, 9, 10, 12, 13, 99])
+def test_line_dedup(spark, min_sites, most_bytes):
     docs = frame(spark, line_rows()).repartition(3)
-    got = line_dedup.line_dedup(docs, min_sites=min_sites, report=True)
+    got = line_dedup.line_dedup(docs, min_sites=min_sites, report=True, most_bytes=most_bytes)
     assert as_rows(got) == plain_line_dedup(line_rows(), min_sites)
 
 
+def test_lines_of_other_lengths_can_be_left_out(spark):
+    got = line_dedup.line_dedup(frame(spark, line_rows()), 8, min_words=3, max_words=20, report=True)
+    assert as_rows(got) == plain_line_dedup(line_rows(), 8, 3, 20)
+
+
+def test_lines_of_any_length_go(spark):
+    """One word, a few, and hundreds of words: all are looked at."""
+    common = ["word", "ok ok", "on every page here", prose(50, 60), prose(51, 300)]
+    left = as_rows(line_dedup.line_dedup(frame(spark, line_rows()), 4, report=True))
+    for line in common:
+        holders = [i for i, text, *_ in left if line in [x.strip() for x in (text or "").split("\n")]]
+        assert len(holders) == 1
+
+
+def test_texts_do_not_move_where_boilerplate_is_small(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    plan = line_dedup.line_dedup(docs)._jdf.queryExecution().executedPlan().toString()
+    scan = plan[: plan.index("Subquery")]
+    assert "Exchange" not in scan and "Join" not in scan and "AS buckets" not in scan
+
+
 def test_line_dedup_keeps_columns(spark):
     docs = with_clashes(frame(spark, line_rows()))
     got = line_dedup.line_dedup(docs, min_sites=8)
@@ -91,7 +116,7 @@ def test_line_dedup_keeps_columns(spark):
 def test_sketches_agree_with_exact_counts(spark):
     """With no margin the sketches decide alone, with a wide one exact counts do."""
     docs = frame(spark, line_rows())
-    lines = line_dedup.short_lines(docs)
+    lines = line_dedup.word_lines(docs)
     sketched = as_rows(line_dedup.boilerplate_lines(lines, 9, margin=0.0))
     assert sketched == as_rows(line_dedup.boilerplate_lines(lines, 9, margin=0.99)) and sketched
 
@@ -282,6 +307,80 @@ def test_repeated_passages(spark, per_bucket):
             assert abs(len(a & b) / len(a | b) - r.similarity) < 1e-9
 
 
+def near_corpus(seed, n, passages):
+    """Texts with copies of passages of which up to two words are others, and a sentence that a third of all have."""
+    rng = random.Random(seed)
+    some = lambda k: [f"v{rng.randrange(3000)}" for _ in range(k)]
+    hot, known, texts = some(30), [some(rng.randrange(50, 110)) for _ in range(passages)], []
+    for _ in range(n):
+        parts = some(rng.randrange(10, 80))
+        before = rng.random() < 0.3
+        if before:
+            parts += hot + some(10)
+        if rng.random() < 0.8:
+            own = list(rng.choice(known))
+            for _ in range(rng.choice([0, 1, 1, 2, 2])):
+                k = rng.randrange(len(own))
+                own[k : k + 1] = rng.choice([some(1), [], [*some(1), own[k]]])
+            if not before and rng.random() < 0.3:
+                parts += hot
+            parts += own
+        texts.append(" ".join(parts + some(rng.randrange(10, 80))))
+    return texts
+
+
+def plain_near_pairs(texts, width=46):
+    """Pairs of texts with a stretch of ``width`` shingles that are three quarters alike; no text repeats a shingle."""
+    sets, found = [shingle_hashes(word_hashes(t)) for t in texts], set()
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            same = a[:, None] == b[None, :]
+            if min(len(a), len(b)) >= width and same.sum() * 7 >= 6 * width:
+                sums = np.zeros((len(a) + 1, len(b) + 1), int)
+                sums[1:, 1:] = same.cumsum(0).cumsum(1)
+                common = sums[width:, width:] - sums[:-width, width:] - sums[width:, :-width] + sums[:-width, :-width]
+                if (common * 7 >= 6 * width).any():
+                    found.add((j, i))
+    return found
+
+
+@pytest.mark.parametrize(("seed", "n", "passages"), [(1, 300, 30), (2, 250, 4), (3, 500, 90)])
+def test_recall_of_near_passages_over_a_corpus(spark, seed, n, passages):
+    """Nearly all pairs of texts with a near passage are joined by links, most of those in small groups directly."""
+    texts = near_corpus(seed, n, passages)
+    want = plain_near_pairs(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING").repartition(4)
+    got = {(r.of_doc_id, r.doc_id) for r in substring_dedup.repeated_passages(docs).collect()}
+    linked = dict(map(tuple, components(spark.createDataFrame(sorted(got), "a LONG, b LONG")).collect()))
+    together = [linked.get(a, -1) == linked.get(b, -2) for a, b in want]
+    assert len(want) > 500 and sum(together) >= 0.97 * len(want)
+    assert passages < 10 or len(want & got) >= 0.75 * len(want)
+
+
+def test_pieces_of_a_long_text_have_the_windows_of_the_whole():
+    text = prose(21, 3000, 700)
+    batch = pa.RecordBatch.from_pydict({"node": [5], "text": [text]})
+
+    def records(piece):
+        found = set()
+        for rows in substring_dedup._windows(iter([batch]), 46, 4, 3, piece):
+            for row in rows.to_pylist():
+                columns = [np.frombuffer(row[c], kind) for c, kind in substring_dedup.FIELDS.items() if c != "ref"]
+                found |= set(zip(*(c.tolist() for c in columns), strict=True))
+        return found
+
+    whole, cut = records(1 << 22), records(500)
+    names = [c for c in substring_dedup.FIELDS if c != "ref"]
+    at = lambda rows: {r[names.index("at")] for r in rows}
+    assert whole and at(cut) == at(whole) and len(cut & whole) == len(whole)
+
+
+def test_more_places_than_a_sort_key_holds_are_refused():
+    n = (1 << substring_dedup.PLACE_BITS) + 1
+    with pytest.raises(ValueError, match="places"):
+        substring_dedup.compact_windows(np.zeros(n, np.uint64), np.zeros(n, np.uint8), 46)
+
+
 def test_repeated_passages_of_nothing(spark):
     docs = hard_docs(spark)
     assert substring_dedup.repeated_passages(docs.limit(0)).count() == 0
