@@ -16,6 +16,9 @@ LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 SPECIAL = re.compile(r"<\|.*\|>")
 
+LONGEST = 64  # characters of a string that is held
+ENTRY_BYTES = 160  # of memory that an entry takes besides its characters and ids
+
 
 def byte_letters() -> dict[int, int]:
     """The characters that stand for bytes in a byte-level vocabulary: a byte that prints in
@@ -28,25 +31,29 @@ def byte_letters() -> dict[int, int]:
 class _Encoded(dict):
     """Ids by string, as little-endian unsigned 32-bit bytes.
 
-    Holds at most twice ``most`` strings: when that many are new since the last time, those
-    that were not looked up in between are forgotten.
+    What is held takes at most about twice ``most`` bytes: when that much is new since the last time, what
+    was not looked up in between is forgotten.  Strings longer than ``LONGEST`` are never held: in
+    text without blanks they are whole lines, or texts, which seldom come again.
     """
 
     def __init__(self, tokenizer, before: str, most: int, marks: _Encoded | None = None):
         super().__init__()
         self.encode, self.model, self.letters = tokenizer.encode, tokenizer.model, byte_letters()
-        self.before, self.most, self.older = before, most, {}
+        self.before, self.most, self.older, self.bytes = before, most, {}, 0
         self.blank = chr(self.letters[ord(" ")])
         self.marks = self if marks is None else marks
 
     def __missing__(self, part: str) -> bytes:
-        if len(self) >= self.most:
-            self.older = dict(self)
+        if len(part) > LONGEST:
+            return self._encoded(part)
+        if self.bytes >= self.most:
+            self.older, self.bytes = dict(self), 0
             self.clear()
         found = self.older.get(part)
         if found is None:
             found = self._encoded(part)
         self[part] = found
+        self.bytes += ENTRY_BYTES + 4 * len(part) + len(found)
         return found
 
     def _encoded(self, part: str) -> bytes:
@@ -75,7 +82,8 @@ class ByteBpe:
     finds the parts.  The result is that of encoding the whole text.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 56_000_000):
+        """``most`` bytes of strings and ids are held, for words behind a blank, and an eighth for others."""
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)

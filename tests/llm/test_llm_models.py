@@ -18,7 +18,7 @@ from declined.llm.tokens import ByteBpe
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
-BPE = ByteBpe(PATH, most=50)  # forgets often
+BPE = ByteBpe(PATH, most=9000)  # forgets often
 
 
 def plain_ids(text):
@@ -43,6 +43,24 @@ def test_ids_of_long_and_empty_texts():
         assert BPE.ids(text) == plain_ids(text).tobytes()
 
 
+def bytes_held(encoded):
+    return sum(4 * len(k) + len(v) for known in (encoded, encoded.older) for k, v in known.items())
+
+
+def test_text_without_blanks_is_encoded_in_bounded_memory():
+    """Twenty million characters of which every line, or the whole text, is a string of its own."""
+    bpe = ByteBpe(PATH, most=2_000_000)
+    rng = np.random.default_rng(1)
+    for k in range(40):
+        text = "".join(map(chr, rng.integers(0x4E00, 0x9000, 500_000)))
+        if k % 2:
+            text = "\n\n".join(text[i : i + 50] for i in range(0, 100_000, 50))  # short lines are held, and forgotten
+        ids = bpe.ids(text)
+        assert k > 1 or ids == plain_ids(text).tobytes()
+        assert bytes_held(bpe.first) + bytes_held(bpe.after_blank) <= 2 * (2_000_000 + 250_000) + 2000
+    assert len(bpe.first) > 0
+
+
 # Packing -------------------------------------------------------------------------------------
 
 
