@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from declined.llm.common import lower_ascii
+from declined.llm.common import lower_ascii, written
 
 WORDS_PER_BLOCK = 4  # of 64 bits: a block of 256
 
@@ -124,6 +124,7 @@ def url_verdicts(
     blocks nothing.
     """
     listed = listed.select("listed_url").filter(F.col("listed_url").isNotNull()).distinct()
+    listed = written(listed, "listed")  # it is counted, made a filter of and joined
     n_blocks = max(1, math.ceil(listed.count() * bits_per_url / (64 * WORDS_PER_BLOCK)))
     blocks = bloom_blocks(listed, n_blocks, bits)
     if n_blocks * 100 <= most_bytes:
