@@ -10,8 +10,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from declined.llm import decontamination, jaccard_join, line_dedup, lm_scoring, sharding, substring_dedup
-from declined.llm.queries import packed_documents
+from declined.llm import decontamination, jaccard_join, line_dedup, lm_scoring, merkle, sharding, substring_dedup, turn_repair
+from declined.llm.queries import left_over, packed_documents
 
 SF_DIR, FOLDER = sys.argv[1:]
 
@@ -41,7 +41,19 @@ docs = spark.read.parquet(f"{FOLDER}/documents")
 items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
 unreliable = docs.mapInArrow(failing_first, docs.schema)
 trains = F.col("doc_id") % 3 > 0
+
+
+def repairs(d):
+    turns = d.selectExpr(
+        "doc_id % 40 AS conv_id", "doc_id AS turn", "IF(doc_id % 2 = 0, 'user', 'assistant') AS role", "substr(text, 1, 60) AS text"
+    )
+    return turn_repair.repair_report(turns, turns.select("conv_id").distinct())
+
+
 steps = {
+    "suffixes": lambda d: left_over(d, length=60, places_held=5000),
+    "repairs": repairs,
+    "manifest": lambda d: merkle.manifest(d.select("doc_id", "source", merkle.leaf().alias("leaf")), 4, 1),
     "packing": packed_documents,
     "sharding": lambda d: sharding.shard_index(d, [1.0] * 7),
     "lines": line_dedup.line_dedup,

@@ -1,10 +1,13 @@
 """Operators that look at one row at a time: URL verdicts, licences, shards, quality."""
 
+import math
 import re
+import struct
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from plain import SCHEMA, hard_docs, hard_rows, prose, with_clashes
 from pyspark.sql import functions as F
 
@@ -110,6 +113,22 @@ def test_every_known_notice_is_found_in_other_forms(spark):
     assert license_scan.license_scan(units).filter("want <> license OR license IS NULL").count() == 0
 
 
+@pytest.mark.parametrize("most_bytes", [32_000_000, 0])
+def test_whole_texts_are_found_in_a_table_of_notices(spark, most_bytes):
+    """Full licence texts as files have them: wrapped, with their own copyright line and spelling."""
+    import textwrap
+
+    notices = [(name, t) for name, texts in license_scan.KNOWN_LICENSES.items() for t in texts]
+    table = spark.createDataFrame([*notices, ("Mine", "Do as you like, 2024 edition."), ("None", "..."), ("None", None)], "license STRING, notice STRING")
+    rows = [(k, name, f"Copyright (c) {1990 + k} Some One\n\n" + textwrap.fill(re.sub(r"\blicense\b", "licence", t), 60)) for k, (name, t) in enumerate(notices)]
+    rows += [(100, "Mine", "do as you like -- 2024 EDITION"), (101, None, "..."), (102, None, None), (103, None, notices[-1][1] + " more")]
+    docs = spark.createDataFrame(rows, "doc_id LONG, want STRING, text STRING")
+    digests = license_scan.known_digests(docs, table)
+    for known in (table, digests):
+        got = license_scan.license_scan(docs, known, most_bytes=most_bytes)
+        assert got.count() == len(rows) and got.filter("NOT (want <=> license)").count() == 0
+
+
 def test_license_lines_of_documents(spark):
     text = "Some words.\nReleased under the MIT License.\nAll rights reserved.\nreleased under the MIT licence"
     docs = spark.createDataFrame([(1, text), (1, text), (None, "All rights reserved."), (3, None)], "doc_id LONG, text STRING")
@@ -124,6 +143,25 @@ def test_license_lines_of_documents(spark):
 # Shards --------------------------------------------------------------------------------------
 
 
+def test_shards_are_those_of_rendezvous_hashing_done_again(spark):
+    """Scores of all shards for each key, computed without Spark."""
+    weights = [1.0, 2.0, 0.0, 0.5, 1.0, 3.0]
+
+    def shard(key, weights):
+        scores = []
+        for j, w in enumerate(weights):
+            seed = xxhash.xxh64_intdigest(struct.pack("<i", j), seed=42)
+            h = xxhash.xxh64_intdigest("\0null".encode() if key is None else str(key).encode(), seed=seed)
+            if w > 0:
+                scores.append((-w / math.log((h % (1 << 52) + 0.5) / (1 << 52)), j))
+        return max(scores)[1]
+
+    docs = spark.range(800).selectExpr("IF(id = 7, NULL, id * 37 - 900) AS doc_id", "'t' AS text")
+    grown = [*weights, sum(weights) / len(weights)]
+    for r in sharding.shard_index(docs, weights).collect():
+        assert (r.shard, r.grown_shard) == (shard(r.doc_id, weights), shard(r.doc_id, grown))
+
+
 def test_shard_index_on_hard_documents(spark):
     got = sharding.shard_index(with_clashes(hard_docs(spark)), [1.0] * 5).collect()
     want = Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t, *_ in hard_rows())
@@ -218,3 +256,24 @@ def test_later_rules_are_not_evaluated(spark):
     assert [r[0] for r in names.collect()] == ["first"] * 3
 
 
+def test_report_takes_further_measures_only_where_the_cascade_asks(spark, monkeypatch):
+    """A measure behind a rule that rejects, or behind the base limits, is not evaluated."""
+    own = quality_rules.measures
+    raising = {"n_capitals": F.raise_error(F.lit("evaluated")).cast("long")}
+    monkeypatch.setattr(quality_rules, "cascade_order", lambda docs, rules, *_: list(rules))
+    monkeypatch.setattr(quality_rules, "measures", lambda text="text": own(text) | raising)
+    few, marks = "too few words", prose(1, 60) + " #" * 60
+    rejected = spark.createDataFrame([(1, few), (2, marks), (3, None)], "doc_id LONG, text STRING")
+    assert [r.kept for r in quality_rules.quality_report(rejected).collect()] == [False] * 3
+    clean = spark.createDataFrame([(4, prose(2, 90))], "doc_id LONG, text STRING")
+    with pytest.raises(Exception, match="evaluated"):
+        quality_rules.quality_report(clean).collect()
+
+
+def test_rates_are_those_of_what_earlier_rules_leave(spark, monkeypatch):
+    """Of two rules that reject the same rows, the dearer one goes behind one that rejects others."""
+    docs = spark.createDataFrame([(f"{'a' if k % 2 else 'b'} {k}",) for k in range(200)], "text STRING")
+    some, same, rest = (quality_rules.Rule(n, F.col("text").startswith(x)) for n, x in (("1", "a"), ("2", "a"), ("3", "b 2")))
+    monkeypatch.setattr(quality_rules.time, "perf_counter", iter(range(1000)).__next__)
+    order = [r.name for r in quality_rules.cascade_order(docs, [same, rest, some])]
+    assert order == ["1", "3", "2"]
