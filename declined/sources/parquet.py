@@ -13,20 +13,23 @@ def _locate(spark: SparkSession, path: str):
     return fs, fs.makeQualified(location)
 
 
+INSTANTS = "spark.sql.parquet.outputTimestampType"
+
+
 def write_with_statistics(df: DataFrame, path: str) -> None:
     """Writes ``df`` as Parquet with instants as 64-bit integers.
 
     Spark's default for instants is INT96, which has no statistics and takes no pushed-down
-    filter.  The setting holds in a session of the write's own, so that other queries keep theirs.
+    filter.  The session gets its own setting back after the write; a job that writes nothing else
+    sets it for good (``conf/spark-cluster.conf``).
     """
-    own = df.sparkSession.newSession()
-    for key, value in df.sparkSession.conf.getAll.items():
-        if own.conf.isModifiable(key):
-            own.conf.set(key, value)
-    own.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
-    plan = df._jdf.logicalPlan()
-    frames = own._jvm.org.apache.spark.sql.classic.Dataset
-    DataFrame(frames.ofRows(own._jsparkSession, plan), own).write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(INSTANTS)
+    conf.set(INSTANTS, "TIMESTAMP_MICROS")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(INSTANTS, before)
 
 
 def replace_parquet(df: DataFrame, path: str) -> None:
