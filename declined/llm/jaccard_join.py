@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from declined.llm.common import for_tasks, written
+from declined.llm.common import for_tasks, texts_of, written
 from declined.llm.components import components
 from declined.llm.shingles import STEP, mixed, packed, shingle_hashes, unpacked, word_hashes
 
@@ -28,7 +28,9 @@ from declined.llm.shingles import STEP, mixed, packed, shingle_hashes, unpacked,
 LINK, LINK_OF = 75, 100
 SIGNATURES_HELD = 1_500_000  # by a task before it passes them on
 BYTES_PER_NODE = 100  # of a broadcast hash table of nodes
-BLOCK = 500  # members of a hub that are compared at a time
+MEMBERS_A_ROW = 1000  # of a meeting
+BLOCK, BLOCK_ELEMENTS = 500, 1_000_000  # members of a group, and of their sets, that are compared at a time
+PAIRS_A_MEMBER = 2  # of two blocks that become rows, at most
 
 
 # Where bands of sizes start; neighbours differ by a third, so that links stay in a band or cross
@@ -187,7 +189,7 @@ def _sketched(
 
 
 def _meetings(rows: pd.DataFrame) -> pd.DataFrame:
-    """Sets of nodes that agree in a place of the sketch, each set once for a bucket."""
+    """Sets of nodes that agree in a place of the sketch, each set once for a bucket, in rows of some members."""
     node, place = [], []
     for row in rows.itertuples():
         node.append(np.frombuffer(row.nodes, np.int64)[unpacked(row.refs, row.n)])
@@ -202,10 +204,18 @@ def _meetings(rows: pd.DataFrame) -> pd.DataFrame:
     found = {}
     for a, b in zip(first[end - first > 1], end[end - first > 1], strict=True):
         found.setdefault(xxhash.xxh3_64_intdigest(node[a:b].tobytes()) - (1 << 63), node[a:b])
-    return pd.DataFrame({"meeting": list(found), "members": [m.tolist() for m in found.values()]})
-
-
-def _possible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    parts = [
+        (meeting, k, len(members), members[k : k + MEMBERS_A_ROW].tolist())
+        for meeting, members in found.items()
+        for k in range(0, len(members), MEMBERS_A_ROW)
+    ]
+    meeting, first, n, members = zip(*parts, strict=True) if parts else ((),) * 4
+    longs = {"meeting": meeting, "first": first, "n": n}
+    columns = {c: pd.Series(values, dtype=np.int64) for c, values in longs.items()}
+    return pd.DataFrame(columns | {"members": pd.Series(members, dtype=object)})
+
+
+def _near_hubs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of pairs with sizes and sketches those whose sketches are near enough for a link."""
     for rows in batches:
         near = []
@@ -217,38 +227,161 @@ def _possible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rows.loc[np.array(near, bool), ["a", "b"]]
 
 
-def _by_width(column: pa.Array, row: int) -> dict[int, tuple[np.ndarray, ...]]:
-    """The members of one block, by the width of their sketches: nodes, roots, sizes, sketches."""
-    block = column.slice(row, 1).flatten()
-    node, root, size = (block.field(c).to_numpy() for c in ("node", "root", "size"))
+class Parted:
+    """Which nodes are known to be linked, by way of others."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
+        while (y := self.above.get(x, x)) != x:
+            self.above[x] = x = self.above.get(y, y)
+        return x
+
+    def put_together(self, x: int, y: int) -> None:
+        self.above[self.top(x)] = self.top(y)
+
+
+def _by_width(block: pa.StructArray, if_asking: bool) -> dict[int, dict[str, np.ndarray]]:
+    """The members of one block, all or those that ask, by the width of their sketches."""
     bits = block.field("bits").to_pylist()
     width = np.array([len(x) for x in bits], np.int64)
+    if if_asking:
+        width *= block.field("asks").to_numpy(zero_copy_only=False)
     found = {}
-    for one in np.unique(width).tolist():
+    for one in np.unique(width[width > 0]).tolist():
         own = np.flatnonzero(width == one)
-        sketches = np.frombuffer(b"".join(bits[i] for i in own), np.uint8).reshape(len(own), one)
-        found[one] = node[own], root[own], size[own], sketches
+        fields = {c: block.field(c).to_numpy(zero_copy_only=False)[own] for c in ("node", "root", "hub", "size", "asks")}
+        fields["bits"] = np.frombuffer(b"".join(bits[i] for i in own), np.uint8).reshape(len(own), one)
+        found[one] = fields | {"row": own}
     return found
 
 
-def _near_strays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a stray and a member of one hub, of different components, that may link."""
+def _possible_pairs(sides: list[pa.StructArray], blocks: tuple[int, int], other_hubs: bool) -> list[tuple[int, int, int]]:
+    """Pairs of two blocks whose sketches are near enough for a link: how far apart, and the rows.
+
+    One side asks, the other is asked; if both ask each other, the pair is looked at once.
+    """
+    asking, asked = _by_width(sides[0], True), _by_width(sides[1], False)
+    pairs = []
+    for width, these in asking.items():
+        for i in range(len(these["node"])):
+            for other_width, those in asked.items():
+                least = min(width, other_width)
+                apart = folded(those["bits"], least) ^ folded(these["bits"][i], least)
+                apart = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
+                most = (LINK_OF - LINK) * (those["size"] + these["size"][i]) // (LINK_OF + LINK)
+                fits = (apart <= most) & (those["root"] != these["root"][i])
+                if other_hubs:
+                    fits &= those["hub"] != these["hub"][i]
+                if blocks[0] > blocks[1]:
+                    fits &= ~those["asks"]
+                elif blocks[0] == blocks[1]:
+                    fits &= ~those["asks"] | (those["node"] > these["node"][i])
+                found = np.flatnonzero(fits)
+                pairs += zip(apart[found].tolist(), [these["row"][i]] * len(found), those["row"][found].tolist())
+    return pairs
+
+
+def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple[int, int], list[pa.StructArray]]]:
     for batch in batches:
         for row in range(batch.num_rows):
-            members = _by_width(batch.column("members"), row)
-            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for stray_width, strays in _by_width(batch.column("strays"), row).items():
-                for stray, stray_root, stray_size, own in zip(*strays, strict=True):
-                    for member_width, (node, root, size, bits) in members.items():
-                        width = min(member_width, stray_width)
-                        apart = folded(bits, width) ^ folded(own, width)
-                        apart = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
-                        most = (LINK_OF - LINK) * (size + stray_size) // (LINK_OF + LINK)
-                        found = node[(apart <= most) & (root != stray_root)]
-                        a.append(np.minimum(found, stray))
-                        b.append(np.maximum(found, stray))
-            pairs = [pa.array(np.concatenate(x)) for x in (a, b)]
-            yield pa.RecordBatch.from_arrays(pairs, ["a", "b"])
+            group, *blocks = (batch.column(c)[row].as_py() for c in ("group", "block", "other_block"))
+            asking, asked = (batch.column(c).slice(row, 1) for c in ("asking", "asked"))
+            yield group, tuple(blocks), [(asked if asking.null_count else asking).flatten(), asked.flatten()]
+
+
+def _possible(batches: Iterator[pa.RecordBatch], other_hubs: bool) -> Iterator[pa.RecordBatch]:
+    """Possible pairs of blocks that have few for their members; of the others, the blocks."""
+    for group, blocks, sides in _blocks_of(batches):
+        pairs = _possible_pairs(sides, blocks, other_hubs)
+        nodes = [side.field("node").to_numpy() for side in sides]
+        if len(pairs) > PAIRS_A_MEMBER * sum(map(len, nodes)):
+            rows = [(None, None, group, *blocks)]
+        else:
+            rows = [(min(x, y), max(x, y), None, None, None) for x, y in ((nodes[0][i], nodes[1][j]) for _, i, j in pairs)]
+        columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "group", "block", "other_block"])
+
+
+def _forest(batches: Iterator[pa.RecordBatch], other_hubs: bool) -> Iterator[pa.RecordBatch]:
+    """Links that join components within two blocks, as few as do.
+
+    The nearest pairs come first; those that are by then linked through others are passed over, and the
+    sets of the others are compared.
+    """
+    for _, blocks, sides in _blocks_of(batches):
+        sets = [[np.frombuffer(x.as_buffer(), np.uint64) for x in side.field("elements")] for side in sides]
+        nodes, roots = ([x.field(c).to_pylist() for x in sides] for c in ("node", "root"))
+        linked, links = Parted(), []
+        for _, i, j in sorted(_possible_pairs(sides, blocks, other_hubs)):
+            if linked.top(roots[0][i]) == linked.top(roots[1][j]):
+                continue
+            one, two = sets[0][i], sets[1][j]
+            common = len(np.intersect1d(one, two, assume_unique=True))
+            if common * LINK_OF >= (len(one) + len(two) - common) * LINK:
+                linked.put_together(roots[0][i], roots[1][j])
+                links.append(sorted((nodes[0][i], nodes[1][j])))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        elements = [shingle_set(text.as_py()).tobytes() for text in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(elements, pa.binary())], ["node", "elements"])
+
+
+def block_pairs(members: DataFrame, *columns: str) -> DataFrame:
+    """Per group and two of its blocks the members of the one that ask, and all of the other.
+
+    Most groups have one block, which meets itself; there ``asking`` is NULL.
+    """
+    member = F.struct("node", "root", "hub", "size", "bits", "asks", *columns)
+    gathered = members.groupBy("group", "block", "blocks").agg(F.collect_list(member).alias("asked"))
+    itself = F.lit(None).cast(gathered.schema["asked"].dataType).alias("asking")
+    alone = gathered.filter("blocks = 1").select("group", "block", itself, F.col("block").alias("other_block"), "asked")
+    several = members.filter("blocks > 1")
+    whole = several.groupBy("group", F.col("block").alias("other_block")).agg(F.collect_list(member).alias("asked"))
+    asking = several.filter("asks").groupBy("group", "block").agg(F.collect_list(member).alias("asking"))
+    return alone.unionByName(asking.join(whole, "group"))
+
+
+def pairs_within(
+    groups: DataFrame, nodes: DataFrame, texts: DataFrame, other_hubs: bool, most_bytes: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs ``a`` and ``b`` of a group that may link and are to be verified, and links that are.
+
+    ``groups`` have ``group``, ``node``, ``root``, ``hub`` and ``asks``; nodes that ask are compared with all others
+    of another root.  A group is cut into blocks that meet two by two, so none is gathered in one place.
+    Pairs become rows only where sketches leave few of them for the members of two blocks; other blocks
+    bring their members' sets along, and give links alone, as many as join components.
+    """
+    members = groups.join(nodes.select("node", "size"), "node")
+    sizes = members.groupBy("group").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_ELEMENTS)).alias("blocks")
+    )
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    members = members.join(sizes, "group").withColumn("block", block).join(nodes.select("node", "bits"), "node")
+    members = written(members, "compared")
+    kinds = "a LONG, b LONG, group LONG, block LONG, other_block LONG"
+    possible = block_pairs(members).mapInArrow(partial(_possible, other_hubs=other_hubs), kinds)
+    possible = written(possible, "possible")
+    sparse = possible.filter("a IS NOT NULL").select("a", "b")
+    dense = possible.filter("a IS NULL").select("group", "block", "other_block")
+    if dense.isEmpty():
+        return sparse, None
+    wanted = dense.select("group", "block").unionByName(dense.select("group", F.col("other_block").alias("block")))
+    members = members.join(wanted.distinct(), ["group", "block"])
+    sets = texts_of(texts, members.select("node").distinct(), most_bytes).mapInArrow(_sets, "node LONG, elements BINARY")
+    pairs = block_pairs(members.join(sets, "node"), "elements").join(dense, ["group", "block", "other_block"])
+    return sparse, written(pairs.mapInArrow(partial(_forest, other_hubs=other_hubs), "a LONG, b LONG"), "forest")
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs ``a`` and ``b`` whose texts link."""
+    for side in ("a", "b"):
+        pairs = pairs.join(texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
+    return written(pairs.mapInPandas(_linking, "a LONG, b LONG"), "links")
 
 
 def _linking(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -310,10 +443,11 @@ def near_duplicates(
     in a bucket; the number of buckets grows with the corpus, and a meeting of the same nodes
     counts once.  Every node is first compared with its hub, of those it meets the one that meets
     the most, which finds the components of groups of copies in one comparison for each member.
-    Nodes that are not linked with their hub are then compared with all others of that hub, in
-    blocks, and nodes of different hubs and components that meet with each other, so that no link between
+    Nodes that are not linked with their hub are then compared with all others of that hub, and
+    nodes of different hubs and components that meet with each other, block by block, so that no link between
     components is lost.  A comparison looks at sketches of some bits for each
-    element first, which tell most texts that are not alike apart, and is then exact, on whole texts.
+    element first, which tell most texts that are not alike apart, and is then exact, on whole texts.  Of two
+    blocks only links come out, and of these as many as it takes to join their components.
 
     NULL in other columns does not matter, extra columns are ignored, repeated rows come
     out repeated.  Documents without an id take part; ids are compared without them.
@@ -330,8 +464,9 @@ def near_duplicates(
     )
 
     blobs = sketched.filter("bucket IS NOT NULL").select("bucket", "n", "nodes", "places", "refs")
-    meetings = blobs.groupBy("bucket").applyInPandas(_meetings, "meeting LONG, members ARRAY<LONG>")
-    meetings = written(meetings.dropDuplicates(["meeting"]), "meetings")
+    # A task for each bucket, however many there are.
+    meetings = blobs.repartitionById(n_buckets, "bucket").groupBy("bucket").applyInPandas(_meetings, "meeting LONG, first LONG, n LONG, members ARRAY<LONG>")
+    meetings = written(meetings.dropDuplicates(["meeting", "first"]), "meetings")
     roots = _linked(docs, rows, meetings, most_bytes)
 
     placed = rows.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
@@ -380,7 +515,7 @@ def one_of_each(docs: DataFrame, most_bytes: int = 32_000_000) -> DataFrame:
 
 def _linked(docs: DataFrame, rows: DataFrame, meetings: DataFrame, most_bytes: int) -> DataFrame:
     """``node`` and ``root`` of the nodes that links join, from who meets whom."""
-    met = meetings.select("meeting", F.explode("members").alias("node"), F.size("members").alias("n"))
+    met = meetings.select("meeting", F.explode("members").alias("node"), "n")
     weight = met.groupBy("node").agg(F.sum("n").alias("weight"))
     met = met.join(weight, "node")
     met = written(met.select("meeting", "node", F.struct("weight", "node").alias("rank")), "met")
@@ -403,16 +538,17 @@ def _linked(docs: DataFrame, rows: DataFrame, meetings: DataFrame, most_bytes: i
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(
         wanted, (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))
     )
-    texts = written(texts.dropDuplicates(["node"]).select("node", "text"), "texts")
+    texts = texts.select("node", "text")
+    if not rows.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["node"])  # else each node has one row, that of its first document
+    texts = written(texts, "texts")
 
     def side(table: DataFrame, name: str, *columns: str) -> DataFrame:
         return table.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
     def links(pairs: DataFrame) -> DataFrame:
         sketched = pairs.join(side(nodes, "a", "size", "bits"), "a").join(side(nodes, "b", "size", "bits"), "b")
-        possible = sketched.mapInPandas(_possible, "a LONG, b LONG")
-        both = possible.join(side(texts, "a", "text"), "a").join(side(texts, "b", "text"), "b")
-        return written(both.mapInPandas(_linking, "a LONG, b LONG"), "links")
+        return verified(sketched.mapInPandas(_near_hubs, "a LONG, b LONG"), texts)
 
     # 1. Each node with its hub.  A node that meets no larger one is its own hub.
     hubs = met.join(met.groupBy("meeting").agg(F.max("rank").alias("hub")), "meeting")
@@ -424,37 +560,29 @@ def _linked(docs: DataFrame, rows: DataFrame, meetings: DataFrame, most_bytes: i
 
     # 2. Nodes that are not linked with their hub, strays, with all others of that hub.
     of_hub = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-    members = hubs.filter("node <> hub").join(nodes, "node").join(roots, "node", "left").join(of_hub, "hub", "left")
+    members = hubs.filter("node <> hub").join(roots, "node", "left").join(of_hub, "hub", "left")
+    root = F.coalesce("root", "node")
     members = members.select(
+        F.col("hub").alias("group"),
+        "node",
+        root.alias("root"),
         "hub",
-        F.struct("node", F.coalesce("root", "node").alias("root"), "size", "bits").alias("member"),
-        (F.coalesce("root", "node") != F.coalesce("hub_root", "hub")).alias("stray"),
+        (root != F.coalesce("hub_root", "hub")).alias("asks"),
     )
     members = written(members, "members")
-    sizes = members.groupBy("hub").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), F.count_if("stray").alias("strays")
-    )
-    sizes = sizes.filter("strays > 0").select("hub", "blocks")
-    dealt = members.join(sizes, "hub").withColumn(
-        "block", F.pmod(F.xxhash64("member.node"), F.col("blocks"))
-    )
-    whole = dealt.groupBy("hub", "block").agg(F.collect_list("member").alias("members"))
-    strays = dealt.filter("stray").groupBy("hub", "block").agg(F.collect_list("member").alias("strays"))
-    near = strays.select("hub", "strays").join(whole.select("hub", "members"), "hub")
-    near = near.mapInArrow(_near_strays, "a LONG, b LONG")
+    with_strays = members.filter("asks").select("group").distinct()
+    near = pairs_within(members.join(with_strays, "group"), nodes, texts, False, most_bytes)
 
     # 3. Nodes of different hubs and components that meet.
     placed = met.join(roots, "node", "left").join(hubs, "node").select(
-        "meeting", "node", "hub", F.coalesce("root", "node").alias("root")
+        F.col("meeting").alias("group"), "node", root.alias("root"), "hub", F.lit(True).alias("asks")
     )
-    several = placed.groupBy("meeting").agg(
+    several = placed.groupBy("group").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.min("hub").alias("one"), F.max("hub").alias("other")
     )
-    several = several.filter("low < high AND one < other").select("meeting")
-    placed = written(placed.join(several, "meeting"), "open")
-    other = placed.select("meeting", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("hub").alias("hub_b"))
-    across = placed.join(other, "meeting").filter("root < root_b AND hub <> hub_b")
-    across = across.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-    asked = to_hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = near.unionByName(across).distinct().join(asked, ["a", "b"], "left_anti")
-    return components(links(rest).unionByName(done))
+    several = several.filter("low < high AND one < other").select("group")
+    across = pairs_within(written(placed.join(several, "group"), "open"), nodes, texts, True, most_bytes)
+    pairs = written(near[0].unionByName(across[0]).distinct(), "pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    found = [done, verified(pairs, texts_of(texts, wanted, most_bytes))]
+    return components(reduce(DataFrame.unionByName, [*found, *[x for _, x in (near, across) if x is not None]]))
