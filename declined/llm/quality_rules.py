@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from declined.llm.common import BLANK, blank_words
+from declined.llm.common import BLANK, blank_words, written
 
 
 @dataclass(frozen=True)
@@ -122,31 +122,38 @@ def cascade_order(
 ) -> list[Rule]:
     """``rules`` by falling rejections per second, as estimated on a sample.
 
-    The sample is the text of ``sample_rows`` documents of at most ``most_bytes`` bytes.  It decides
-    the order alone, never a verdict: a document is kept if no rule rejects it, in any
-    order.  Each rule is timed on ``repeats`` copies of the sample, less the time of a
-    rule that does nothing.  An empty table keeps the order as given.
+    The sample is random, of about ``sample_rows`` documents of at most ``most_bytes`` bytes, written to the
+    shared folder; no text reaches the driver.  It decides the order alone, never a verdict: a document is
+    kept if no rule rejects it, in any order.  Each rule is timed on ``repeats`` copies of the sample, less the
+    time of a rule that does nothing.  The next rule is always the one that rejects most per second of
+    what those before it leave.  Without a sample the order stays as given.
     """
     short = F.coalesce(F.octet_length("text"), F.lit(0)) <= most_bytes
-    rows = docs.select("text").filter(short).head(sample_rows)
-    if not rows:
+    share = min(1.0, sample_rows / max(1, docs.count()))
+    sample = written(docs.select("text").filter(short).sample(share, seed=1), "quality-sample")
+    verdicts = F.array(*[F.coalesce(rule.rejects, F.lit(False)) for rule in rules])
+    alike = sample.groupBy(verdicts.alias("verdicts")).count().collect()  # at most one row a document
+    if not alike:
         return list(rules)
-    sample = docs.sparkSession.createDataFrame(rows, "text STRING")
-    sample = sample.repartition(1).select("*", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+    copies = sample.coalesce(1).select("*", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
 
-    def measured(rejects: Column) -> tuple[float, float]:
-        counting = sample.agg(F.count_if(F.coalesce(rejects, F.lit(False))).alias("n"))
+    def seconds(rejects: Column) -> float:
+        counting = copies.agg(F.count_if(F.coalesce(rejects, F.lit(False))))
         counting.collect()
         start = time.perf_counter()
-        n = counting.first()["n"]
-        return time.perf_counter() - start, n / (repeats * len(rows))
+        counting.collect()
+        return time.perf_counter() - start
 
-    idle, _ = measured(F.octet_length("text") < 0)
-    rated = []
-    for rule in rules:
-        seconds, rejected = measured(rule.rejects)
-        rated.append((-rejected / max(seconds - idle, 1e-4), rule.name, rule))
-    return [rule for *_, rule in sorted(rated, key=lambda x: x[:2])]
+    idle = seconds(F.octet_length("text") < 0)
+    costs = [max(seconds(rule.rejects) - idle, 1e-4) for rule in rules]
+    order, left = [], list(range(len(rules)))
+    while left:
+        rejected = {k: sum(r["count"] for r in alike if r["verdicts"][k]) for k in left}
+        best = min(left, key=lambda k: (-rejected[k] / costs[k], rules[k].name))
+        order.append(rules[best])
+        left.remove(best)
+        alike = [r for r in alike if not r["verdicts"][best]]
+    return order
 
 
 def first_rejection(rules: Sequence[Rule]) -> Column:
@@ -171,25 +178,31 @@ def keep_quality(
     return docs.filter(verdict.isNull())
 
 
+# Measures that the report returns for every document; the others are taken where the cascade asks for them.
+REPORTED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
 def quality_report(docs: DataFrame, sample_rows: int = 256) -> DataFrame:
     """Per row: ``doc_id``, the text's counts, ``base_failed``, ``kept``.
 
-    All counts are returned, so each is computed once and the cascade looks at the results,
-    and only where the base limits hold.  Repeated rows come out repeated, a NULL text
-    counts as one without words, extra columns are left out.
+    The counts are returned, so each is computed once, from words that are split once.  Where the base limits
+    hold, the cascade decides: it looks at the counts first computed, and takes any other measure of the text only
+    when no rule before has rejected it.  Repeated rows come out repeated, a NULL text counts as
+    one without words, extra columns are left out.
     """
     order = [r.name for r in cascade_order(docs, default_rules(), sample_rows)]
-    counts = docs.select("doc_id", *[c.alias(name) for name, c in measures().items()])
-    rules = {r.name: r for r in default_rules({name: F.col(name) for name in measures()})}
+    text, words = F.col("text"), F.col("words")
+    split = docs.select("doc_id", "text", blank_words(text).alias("words"))
+    of_words = {
+        "n_words": F.size(words).cast("long"),
+        "word_chars": F.length(F.array_join(words, "")).cast("long"),
+        "n_repeat_words": n_repeat_words(words),
+    }
+    found = measures() | of_words
+    counts = split.select("doc_id", "text", *[found[name].alias(name) for name in REPORTED])
+    rules = {r.name: r for r in default_rules(measures() | {name: F.col(name) for name in REPORTED})}
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     verdict = first_rejection([rules[name] for name in order])
     return counts.select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        failed.alias("base_failed"),
-        F.when(failed, False).otherwise(verdict.isNull()).alias("kept"),
+        "doc_id", *REPORTED, failed.alias("base_failed"), F.when(failed, False).otherwise(verdict.isNull()).alias("kept")
     )
