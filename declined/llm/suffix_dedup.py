@@ -385,7 +385,9 @@ def repeats(
     key_bytes = min(8, max(5, -(-(n_cover.bit_length() + 14) // 8)))
     covering = partial(_cover_places, length=length, n_buckets=n_buckets, key_bytes=key_bytes, held=places_held)
     placed = docs.mapInArrow(covering, PLACED)
-    ranked = written(placed.groupBy("bucket").applyInArrow(repeated(key_bytes), REPEATED), "ranked")
+    # A task for each bucket, however many there are.
+    placed = placed.repartitionById(n_buckets, "bucket").groupBy("bucket")
+    ranked = written(placed.applyInArrow(repeated(key_bytes), REPEATED), "ranked")
 
     n_ranked = ranked.agg(F.sum("n")).first()[0] or 0
     n_buckets = n_ranked * period * 3 // (2 * len(residues)) // places_per_bucket + 1
@@ -397,7 +399,8 @@ def repeats(
     texts = docs.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     suspecting = partial(_suspect_places, length=length, n_buckets=n_buckets, held=places_held)
     placed = texts.join(ranked, "node").select("node", "text", "places").mapInArrow(suspecting, PLACED)
-    starts = by_text(placed.groupBy("bucket").applyInArrow(repeated(8), REPEATED))
+    placed = placed.repartitionById(n_buckets, "bucket").groupBy("bucket")
+    starts = by_text(placed.applyInArrow(repeated(8), REPEATED))
     left = texts.join(starts, "node").select("node", "text", "places")
     left = left.mapInArrow(partial(_remaining, length=length), REMAINING)
 
