@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from functools import partial
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -288,6 +290,48 @@ def plain_sharing(rows, width=50):
     return {i for ids in holders.values() if len(ids - {None}) > 1 for i in ids - {None}}
 
 
+def plain_sharing_pairs(rows, width=50):
+    holders = defaultdict(set)
+    for i, t, *_ in rows:
+        w = words(t)
+        for k in range(len(w) - width + 1):
+            holders[tuple(w[k : k + width])].add(i)
+    return {(i, j) for ids in holders.values() for i in ids - {None} for j in ids - {None} if i < j}
+
+
+def met_in_a_text(rows, width=50):
+    """Pairs of texts with a row each that cover the same ``width`` words of one text, and those of the rows."""
+    met, seen = {(r.of_doc_id, r.doc_id) for r in rows}, defaultdict(set)
+    for r in rows:
+        seen[r.of_doc_id].add((r.doc_id, r.of_start, r.of_start + r.n_words))
+        seen[r.doc_id].add((r.of_doc_id, r.start, r.start + r.n_words))
+    for there in seen.values():
+        for (i, x, y), (j, low, high) in combinations(there, 2):
+            if i != j and min(y, high) - max(x, low) >= width:
+                met.add((min(i, j), max(i, j)))
+    return met
+
+
+@pytest.mark.parametrize("per_bucket", [2_000_000, 200])
+def test_every_pair_of_texts_with_an_equal_passage_meets(spark, per_bucket):
+    """Passages of 30 texts, parts of them in others, twice in some; each text has passages of its own as well."""
+    rng, rows, n = random.Random(5), [], 60
+    parts = [prose(400 + k, 130).split(" ") for k in range(3)]
+    for i in range(n):
+        own = prose(500 + i, 40).split(" ")
+        for part in rng.sample(parts, rng.randrange(1, 4)):
+            low = rng.randrange(0, 60)
+            own += part[low : low + rng.randrange(45, 100)] * rng.choice([1, 1, 2]) + prose(rng.randrange(10**6), 20).split(" ")
+        rows.append(doc(i + 1, " ".join(own)))
+    copied = [*rows, *(doc(i, rows[i % n][1]) for i in range(100, 110)), doc(200, None), doc(201, "too short")]
+    find = partial(substring_dedup.repeated_passages, windows_per_bucket=per_bucket)
+    got = find(frame(spark, rows).repartition(4)).filter("similarity = 1").collect()
+    want = plain_sharing_pairs(rows)
+    assert len(want) > 500 and met_in_a_text(got) == want
+    found = find(frame(spark, copied).repartition(4))
+    assert {tuple(r) for r in substring_dedup.exact_links(found).collect()} == plain_sharing_pairs(copied)
+
+
 @pytest.mark.parametrize("per_bucket", [2_000_000, 200])
 def test_repeated_passages(spark, per_bucket):
     rows = passage_rows()
